@@ -207,7 +207,8 @@ def predict(spark: SparkSession, model: FcmModel | None, df: DataFrame, k: int =
     bc = spark.sparkContext.broadcast(model.centroids)
     schema = T.StructType([df.schema[c] for c in keep] +
                           [T.StructField("membership", T.ArrayType(T.DoubleType()))])
-    return df.select(*keep, "embedding").mapInPandas(_predict_fn(bc, model.m, keep), schema)
+    cols = list(dict.fromkeys(keep + ["embedding"]))
+    return df.select(*cols).mapInPandas(_predict_fn(bc, model.m, keep), schema)
 
 
 def predict_catalyst(model: FcmModel, emb_col="embedding"):
