@@ -42,11 +42,15 @@ def dot(a, b) -> Column:
                        F.lit(0.0).cast("double"), lambda acc, x: acc + x)
 
 
+def sq_dist_raw(a, b) -> Column:
+    """Squared Euclidean distance."""
+    return F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: (x.cast("double") - y) * (x.cast("double") - y)),
+                       F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+
+
 def sq_dist(a, b) -> Column:
     """Squared Euclidean distance floored at 1e-10."""
-    d = F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: (x.cast("double") - y) * (x.cast("double") - y)),
-                    F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-    return F.greatest(d, F.lit(DIST_FLOOR))
+    return F.greatest(sq_dist_raw(a, b), F.lit(DIST_FLOOR))
 
 
 def memberships_from_dists(dists, m: float) -> Column:
