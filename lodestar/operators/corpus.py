@@ -31,10 +31,13 @@ def prepare_corpus(raw: DataFrame, cats: DataFrame) -> DataFrame:
     ``raw`` is ``(doc_id, text, label, ...)``; output is
     ``(doc_id, content_id, text, label, category)``.
     """
-    kept = (cleaned(raw, ["doc_id", "label"]).where(tx.is_valid(F.col("clean")))
-            .select("doc_id", F.col("clean").alias("text"), "label")
+    keys = ["doc_id", "label"] + (["category"] if "category" in raw.columns else [])
+    kept = (cleaned(raw, keys).where(tx.is_valid(F.col("clean")))
+            .select(*keys, F.col("clean").alias("text"))
             .withColumn("content_id", tx.content_id(F.col("text"))))
-    return decode_labels(kept, cats).select("doc_id", "content_id", "text", "label", "category")
+    if "category" not in raw.columns:
+        kept = decode_labels(kept, cats)
+    return kept.select("doc_id", "content_id", "text", "label", "category")
 
 
 def retention_report(raw: DataFrame, by: str | None = None) -> DataFrame:

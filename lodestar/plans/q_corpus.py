@@ -39,8 +39,9 @@ SELECT d.doc_id, c.label, c.category FROM documents d JOIN cats c ON d.source =
 def a2_decode_labels(spark, sf):
     docs = tb.read_table(spark, sf, "documents")
     cats = tb.categories(docs)
-    raw = tb.scan_corpus(spark, sf).select("doc_id", "label")
-    return tb.decode_labels(raw, cats).select("doc_id", "label", "category")
+    raw = tb.read_table(spark, sf, "documents").select("doc_id", F.col("source").alias("category"))
+    labelled = raw.join(cats, "category").select("doc_id", "label")
+    return tb.decode_labels(labelled, cats).select("doc_id", "label", "category")
 
 
 @query("a5_vector_table", "WITH " + S.CORPUS + ",\n" + S.hashed_long("corpus", "doc_id", "text") + """
@@ -268,8 +269,7 @@ FROM corpus c LEFT JOIN dv USING (doc_id) LEFT JOIN cu ON cu.category = c.catego
 GROUP BY c.doc_id, c.category""")
 def c3_cosine_to_category(spark, sf):
     v = common.corpus_vectors(spark, sf).select("doc_id", "category", "embedding")
-    cents, _ = bounded_broadcast(_category_centroids(v), tb.MAX_CATEGORIES)
-    j = v.join(cents, "category")
+    j = v.join(_category_centroids(v), "category")
     return j.select("doc_id", "category", F.round(dot("embedding", "centroid"), R6).alias("cosine"))
 
 

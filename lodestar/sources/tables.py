@@ -100,22 +100,26 @@ def categories(documents: DataFrame, category_col: str = "source") -> DataFrame:
 
 def scan_corpus(spark: SparkSession, sf_dir: str, subset: str = "all",
                 category_col: str = "source") -> DataFrame:
-    """A1: raw labelled corpus ``(doc_id, text, label, split)``; ``subset``
-    is one of all/train/test and becomes a plain filter."""
+    """A1: raw labelled corpus ``(doc_id, text, label, category, split)``;
+    ``subset`` is one of all/train/test and becomes a plain filter.
+
+    The category dimension is the output of an aggregation, so adaptive
+    execution sees its exact size before planning the join and broadcasts
+    it only under ``spark.sql.adaptive.autoBroadcastJoinThreshold``."""
     docs = read_table(spark, sf_dir, "documents")
-    cats, _ = bounded_broadcast(categories(docs, category_col), MAX_CATEGORIES)
+    cats = categories(docs, category_col)
     raw = (docs.select("doc_id", "text", F.col(category_col).alias("category"))
            .join(cats, "category")
-           .select("doc_id", "text", "label", split_of(F.col("doc_id")).alias("split")))
+           .select("doc_id", "text", "label", "category", split_of(F.col("doc_id")).alias("split")))
     if subset != "all":
         raw = raw.where(F.col("split") == subset)
     return raw
 
 
 def decode_labels(df: DataFrame, cats: DataFrame) -> DataFrame:
-    """A2: label -> category name through a size-checked broadcast join."""
-    cats_b, _ = bounded_broadcast(cats, MAX_CATEGORIES)
-    return df.join(cats_b, "label", "inner")
+    """A2: label -> category name (adaptive execution broadcasts the
+    dimension once its measured size is below the broadcast threshold)."""
+    return df.join(cats, "label", "inner")
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> str:
