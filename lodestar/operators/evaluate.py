@@ -116,9 +116,10 @@ def davies_bouldin(spark: SparkSession, labelled: DataFrame) -> DataFrame:
 def fuzziness_sweep(spark: SparkSession, vecs: DataFrame, m_values, k: int, max_iter: int, tol: float,
                     seed: int = 42) -> DataFrame:
     """per m: mean entropy, mean max membership, share ambiguous (plus
-    entropy / ln K so a collapsed fit is visible)."""
+    entropy / ln K so a collapsed fit is visible).  ``vecs`` should be a
+    materialised (checkpointed) table: every fit streams it repeatedly."""
     from lodestar.functions.vectors import entropy, is_ambiguous
-    vecs = vecs.select("doc_id", "embedding").checkpoint(eager=True)
+    vecs = vecs.select("doc_id", "embedding")
     out = None
     for m in m_values:
         model = fcm.fit(spark, vecs, k=k, m=m, max_iter=max_iter, tol=tol, seed=seed, checkpoint=False)
@@ -137,7 +138,7 @@ def k_sweep(spark: SparkSession, vecs: DataFrame, k_values, m: float, max_iter:
     """per K: silhouette (on a seeded sample), Davies-Bouldin, final loss;
     ``candidate_rank`` ranks K by silhouette instead of hard-coding one."""
     from lodestar.functions.vectors import argmax
-    vecs = vecs.select("doc_id", "embedding").checkpoint(eager=True)
+    vecs = vecs.select("doc_id", "embedding")
     rows = []
     for k in k_values:
         model = fcm.fit(spark, vecs, k=k, m=m, max_iter=max_iter, tol=tol, seed=seed, checkpoint=False)

@@ -13,15 +13,32 @@ from lodestar.operators.encode import hashed_vector
 from lodestar.sources.tables import categories, read_table, scan_corpus
 
 
+_CACHE: dict = {}
+
+
+def materialized(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """Build a frame once per application and write it to the shared
+    checkpoint folder (``checkpoint``: lineage cut, reused by every later
+    job instead of recomputing cleaning / encoding)."""
+    k = (spark.sparkContext.applicationId,) + key
+    if k not in _CACHE:
+        _CACHE[k] = build().checkpoint(eager=True)
+    return _CACHE[k]
+
+
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B17 over ``documents``: (doc_id, content_id, text, label, category)."""
-    docs = read_table(spark, sf_dir, "documents")
-    return prepare_corpus(scan_corpus(spark, sf_dir), categories(docs))
+    def build():
+        docs = read_table(spark, sf_dir, "documents")
+        return prepare_corpus(scan_corpus(spark, sf_dir), categories(docs))
+    return materialized(spark, ("corpus", sf_dir), build)
 
 
 def corpus_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean corpus plus its unit hashed vector ``embedding``."""
-    return corpus(spark, sf_dir).withColumn("embedding", hashed_vector(F.col("text")))
+    """Clean corpus plus its unit hashed vector ``embedding`` (the vector
+    table, written once)."""
+    return materialized(spark, ("corpus_vectors", sf_dir),
+                        lambda: corpus(spark, sf_dir).withColumn("embedding", hashed_vector(F.col("text"))))
 
 
 def corpus_with_lang(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,12 +23,15 @@ def fitted(spark: SparkSession, sf_dir: str) -> fcm.FcmModel:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
         vecs = common.corpus_vectors(spark, sf_dir).select("doc_id", "embedding")
-        _CACHE[key] = fcm.fit(spark, vecs, k=K, m=M, max_iter=STEPS, tol=0.0, seed=SEED)
+        _CACHE[key] = fcm.fit(spark, vecs, k=K, m=M, max_iter=STEPS, tol=0.0, seed=SEED, checkpoint=False)
     return _CACHE[key]
 
 
 def corpus_memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpus rows with ``membership``, ``label`` (argmax) and ``entropy``."""
-    model = fitted(spark, sf_dir)
-    v = common.corpus_vectors(spark, sf_dir)
-    return fcm.annotate(fcm.predict(spark, model, v, keep=[c for c in v.columns]).withColumnRenamed("label", "category_label"))
+    def build():
+        model = fitted(spark, sf_dir)
+        v = common.corpus_vectors(spark, sf_dir)
+        return fcm.annotate(fcm.predict(spark, model, v, keep=[c for c in v.columns])
+                            .withColumnRenamed("label", "category_label"))
+    return common.materialized(spark, ("memberships", sf_dir), build)
