@@ -36,11 +36,13 @@ def _encode(df):
 
 
 PAIRS_SQL = "WITH " + S.CORPUS + """,
-ep AS (SELECT a.doc_id AS doc_a, a.text AS qa, b.text AS qb, da.lang = db.lang AS expected FROM corpus a
+ep0 AS (SELECT a.doc_id AS doc_a, a.text AS qa, b.text AS qb, da.lang = db.lang AS expected FROM corpus a
   JOIN corpus b ON b.doc_id = a.doc_id + 1 JOIN documents da ON da.doc_id = a.doc_id JOIN documents db ON db.doc_id = b.doc_id),
-dq AS (SELECT DISTINCT q FROM (SELECT qa AS q FROM ep UNION ALL SELECT qb FROM ep)),
-""" + S.hashed_long("dq", "q", "q", name="qv") + """,
-ps AS (SELECT ep.doc_a, ep.qa, ep.qb, sum(a.x * b.x) AS s FROM ep JOIN qv a ON a.q = ep.qa JOIN qv b ON b.q = ep.qb AND b.dim = a.dim GROUP BY ALL),
+dq AS MATERIALIZED (SELECT q, row_number() OVER (ORDER BY q) AS qid FROM (SELECT DISTINCT q FROM (SELECT qa AS q FROM ep0 UNION ALL SELECT qb FROM ep0))),
+ep AS MATERIALIZED (SELECT ep0.doc_a, ep0.expected, a.qid AS ia, b.qid AS ib FROM ep0 JOIN dq a ON a.q = ep0.qa JOIN dq b ON b.q = ep0.qb),
+""" + S.hashed_long("dq", "qid", "q", name="qv") + """,
+pv AS MATERIALIZED (SELECT ep.doc_a, ep.ia, ep.ib FROM ep),
+ps AS (SELECT pv.doc_a, sum(a.x * b.x) AS s FROM pv JOIN qv a ON a.qid = pv.ia JOIN qv b ON b.qid = pv.ib AND b.dim = a.dim GROUP BY pv.doc_a),
 sims AS (SELECT ep.doc_a, ep.expected, coalesce(ps.s, 0.0) AS sim FROM ep LEFT JOIN ps USING (doc_a)),
 th AS (SELECT unnest([0.60, 0.65, 0.70, 0.75, 0.80, 0.85, 0.90, 0.95])::DOUBLE AS theta),
 conf AS (SELECT theta, CAST(count(*) FILTER (WHERE sim >= theta AND expected) AS BIGINT) AS tp,
@@ -145,10 +147,28 @@ def f4_k_sweep(spark, sf):
     return ev.k_sweep(spark, vecs, range(2, 9), m=M, max_iter=model.STEPS, tol=0.0)
 
 
-@query("f5_fuzziness_sweep")
+M_GRID = [1.2, 1.5, 2.0, 2.5, 3.0, 4.0]   # fixed: the reference's fuzziness grid
+
+
+def _f5_sql():
+    ctes = [S.fcm_ctes(model.STEPS, K, m, model.SEED, tag=f"f{i}_") for i, m in enumerate(M_GRID)]
+    sel = []
+    for i, m in enumerate(M_GRID):
+        u = f"f{i}_u{model.STEPS}"
+        sel.append(f"""SELECT CAST({m} AS DOUBLE) AS m, round(avg(h), 6) AS mean_entropy, round(avg(mx), 6) AS mean_max_membership,
+  round(avg(amb), 6) AS pct_ambiguous, round(avg(h) / ln({float(K)}), 6) AS entropy_over_ln_k, {model.STEPS} AS n_iter
+  FROM (SELECT doc_id, -sum(u * ln(u + 1e-10)) AS h, max(u) AS mx, CASE WHEN count(*) FILTER (WHERE u > 0.3) >= 2 THEN 1.0 ELSE 0.0 END AS amb
+        FROM {u} GROUP BY doc_id)""")
+    return ("WITH " + S.CORPUS + ",\n" + S.hashed_long("corpus", "doc_id", "text") + ",\n" + ",\n".join(ctes)
+            + "\n" + "\nUNION ALL\n".join(sel))
+
+
+@query("f5_fuzziness_sweep", _f5_sql())
 def f5_fuzziness_sweep(spark, sf):
     vecs = common.corpus_vectors(spark, sf).select("doc_id", "embedding")
-    return ev.fuzziness_sweep(spark, vecs, [1.2, 1.5, 2.0, 2.5, 3.0, 4.0], k=K, max_iter=model.STEPS, tol=0.0)
+    r = ev.fuzziness_sweep(spark, vecs, M_GRID, k=K, max_iter=model.STEPS, tol=0.0)
+    return r.select("m", *[F.round(c, 6).alias(c) for c in ("mean_entropy", "mean_max_membership", "pct_ambiguous",
+                                                             "entropy_over_ln_k")], "n_iter")
 
 
 # ---------------------------------------------------------------- G: profiles

@@ -120,34 +120,35 @@ POSTS = ("posts AS (SELECT c.conv_id, c.turn, concat('From: ', c.role, '@example
          "FROM conversations c LEFT JOIN pages p ON p.page_id = c.conv_id)")
 
 
-def fcm_ctes(steps: int, k: int, m: float, seed: int, ids: str = "corpus", vec: str = "hv") -> str:
+def fcm_ctes(steps: int, k: int, m: float, seed: int, ids: str = "corpus", vec: str = "hv", tag: str = "") -> str:
     """Unrolled fuzzy c-means in long form: u0 (seeded md5 init), then for
     t = 1..steps: v{t} (centroids from u{t-1}), d{t} (floored squared
     distances), u{t} = memb(v{t}), plus per-step loss and delta.  ``vec`` is
-    ``(doc_id, dim, x)`` over non-zero entries."""
+    ``(doc_id, dim, x)`` over non-zero entries; ``tag`` prefixes every name."""
     e = 1.0 / (m - 1.0)
+    g = tag
     parts = [
-        f"xx AS MATERIALIZED (SELECT doc_id, sum(x * x) AS xx FROM {vec} GROUP BY doc_id)",
-        f"u0r AS (SELECT c.doc_id, g.k::INTEGER AS k, "
+        f"{g}xx AS MATERIALIZED (SELECT doc_id, sum(x * x) AS xx FROM {vec} GROUP BY doc_id)",
+        f"{g}u0r AS (SELECT c.doc_id, g.k::INTEGER AS k, "
         f"(('0x' || substring(md5('{seed}|' || CAST(c.doc_id AS VARCHAR) || '|' || CAST(g.k AS VARCHAR)), 1, 8))::BIGINT + 1) "
         f"/ 4294967296.0 AS r FROM {ids} c CROSS JOIN range(0, {k}) g(k))",
-        "u0 AS MATERIALIZED (SELECT doc_id, k, r / sum(r) OVER (PARTITION BY doc_id) AS u FROM u0r)",
+        f"{g}u0 AS MATERIALIZED (SELECT doc_id, k, r / sum(r) OVER (PARTITION BY doc_id) AS u FROM {g}u0r)",
     ]
     for t in range(1, steps + 1):
         p = t - 1
         parts += [
-            f"w{t} AS MATERIALIZED (SELECT k, sum(pow(u, {m})) AS w FROM u{p} GROUP BY k)",
-            f"v{t} AS MATERIALIZED (SELECT u.k, x.dim, sum(pow(u.u, {m}) * x.x) / any_value(w.w) AS v "
-            f"FROM u{p} u JOIN {vec} x USING (doc_id) JOIN w{t} w USING (k) GROUP BY u.k, x.dim)",
-            f"vv{t} AS MATERIALIZED (SELECT k, sum(v * v) AS vv FROM v{t} GROUP BY k)",
-            f"xv{t} AS MATERIALIZED (SELECT x.doc_id, v.k, sum(x.x * v.v) AS xv FROM {vec} x JOIN v{t} v USING (dim) GROUP BY x.doc_id, v.k)",
-            f"d{t} AS MATERIALIZED (SELECT xx.doc_id, vv.k, greatest(xx.xx - 2.0 * coalesce(xv.xv, 0) + vv.vv, 1e-10) AS d "
-            f"FROM xx CROSS JOIN vv{t} vv LEFT JOIN xv{t} xv ON xv.doc_id = xx.doc_id AND xv.k = vv.k)",
-            f"u{t} AS MATERIALIZED (SELECT doc_id, k, pow(1.0 / d, {e}) / sum(pow(1.0 / d, {e})) OVER (PARTITION BY doc_id) AS u FROM d{t})",
-            f"h{t} AS (SELECT {p} AS iter, (SELECT sum(pow(u.u, {m}) * d.d) FROM u{t} u JOIN d{t} d USING (doc_id, k)) AS loss, "
-            f"(SELECT max(abs(a.u - b.u)) FROM u{t} a JOIN u{p} b USING (doc_id, k)) AS delta)",
+            f"{g}w{t} AS MATERIALIZED (SELECT k, sum(pow(u, {m})) AS w FROM {g}u{p} GROUP BY k)",
+            f"{g}v{t} AS MATERIALIZED (SELECT u.k, x.dim, sum(pow(u.u, {m}) * x.x) / any_value(w.w) AS v "
+            f"FROM {g}u{p} u JOIN {vec} x USING (doc_id) JOIN {g}w{t} w USING (k) GROUP BY u.k, x.dim)",
+            f"{g}vv{t} AS MATERIALIZED (SELECT k, sum(v * v) AS vv FROM {g}v{t} GROUP BY k)",
+            f"{g}xv{t} AS MATERIALIZED (SELECT x.doc_id, v.k, sum(x.x * v.v) AS xv FROM {vec} x JOIN {g}v{t} v USING (dim) GROUP BY x.doc_id, v.k)",
+            f"{g}d{t} AS MATERIALIZED (SELECT xx.doc_id, vv.k, greatest(xx.xx - 2.0 * coalesce(xv.xv, 0) + vv.vv, 1e-10) AS d "
+            f"FROM {g}xx xx CROSS JOIN {g}vv{t} vv LEFT JOIN {g}xv{t} xv ON xv.doc_id = xx.doc_id AND xv.k = vv.k)",
+            f"{g}u{t} AS MATERIALIZED (SELECT doc_id, k, pow(1.0 / d, {e}) / sum(pow(1.0 / d, {e})) OVER (PARTITION BY doc_id) AS u FROM {g}d{t})",
+            f"{g}h{t} AS (SELECT {p} AS iter, (SELECT sum(pow(u.u, {m}) * d.d) FROM {g}u{t} u JOIN {g}d{t} d USING (doc_id, k)) AS loss, "
+            f"(SELECT max(abs(a.u - b.u)) FROM {g}u{t} a JOIN {g}u{p} b USING (doc_id, k)) AS delta)",
         ]
-    parts.append("hist AS (" + " UNION ALL ".join(f"SELECT * FROM h{t}" for t in range(1, steps + 1)) + ")")
+    parts.append(f"{g}hist AS (" + " UNION ALL ".join(f"SELECT * FROM {g}h{t}" for t in range(1, steps + 1)) + ")")
     return ",\n".join(parts)
 
 

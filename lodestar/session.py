@@ -44,8 +44,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="lodestar-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        d = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="lodestar-ckpt-")
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # some deployments reject core confs at runtime
+            pass
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
