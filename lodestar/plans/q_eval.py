@@ -235,7 +235,21 @@ def g5_profiles(spark, sf):
     return profiles.sizes(mem).join(cats, "cluster", "left").join(reps, "cluster", "left").join(bnd, "cluster", "left")
 
 
-@query("g6_summary")
+G6_SQL = G_BASE + f""",
+sz AS (SELECT label AS cluster, count(*) AS size FROM lab GROUP BY label),
+c3 AS (SELECT cluster, string_agg(regexp_extract(category, '[^.]*$') || '(' || CAST(cnt AS VARCHAR) || ')', ', ' ORDER BY rank) AS cats
+  FROM topc WHERE rank <= 3 GROUP BY cluster),
+b1 AS (SELECT b.cluster, b.doc_id, substring(m.text, 1, 250) AS snip FROM bnd b JOIN mem m USING (doc_id) WHERE b.rank = 1),
+t2 AS (SELECT b1.cluster, string_agg('cluster_' || CAST(u.k AS VARCHAR) || '=' || printf('%.2f', round(u.u, 4)), ' / ' ORDER BY u.r) AS top2
+  FROM b1 JOIN (SELECT doc_id, k, u, row_number() OVER (PARTITION BY doc_id ORDER BY u DESC, k DESC) AS r FROM u{ST}) u
+  ON u.doc_id = b1.doc_id AND u.r <= 2 GROUP BY b1.cluster)
+SELECT sz.cluster, printf('Cluster %2d | %4d docs | %s', sz.cluster, sz.size, coalesce(c3.cats, '')) ||
+  CASE WHEN b1.doc_id IS NULL THEN '' ELSE chr(10) || '  Boundary example: ' || t2.top2 || chr(10) || '  Text: '
+  || {S.strip('substring(b1.snip, 1, 120)')} || ' …' END AS summary
+FROM sz LEFT JOIN c3 USING (cluster) LEFT JOIN b1 USING (cluster) LEFT JOIN t2 USING (cluster)"""
+
+
+@query("g6_summary", G6_SQL)
 def g6_summary(spark, sf):
     return profiles.summary(profiles.profiles(_mem(spark, sf), model.fitted(spark, sf).centroids))
 
