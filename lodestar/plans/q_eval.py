@@ -129,8 +129,9 @@ cc AS (SELECT label, sum(c * c) AS cc FROM cm GROUP BY label),
 xc AS (SELECT h.doc_id, sum(h.x * cm.c) AS xc FROM hv h JOIN lab l USING (doc_id) JOIN cm ON cm.label = l.label AND cm.dim = h.dim GROUP BY h.doc_id),
 sp AS (SELECT l.label, avg(sqrt(greatest(coalesce(xx.xx, 0) - 2 * coalesce(xc.xc, 0) + cc.cc, 0))) AS s
   FROM lab l LEFT JOIN xx USING (doc_id) LEFT JOIN xc USING (doc_id) JOIN cc USING (label) GROUP BY l.label),
-mm AS (SELECT a.label AS la, b.label AS lb, sqrt(sum((coalesce(a.c, 0) - coalesce(b.c, 0)) * (coalesce(a.c, 0) - coalesce(b.c, 0)))) AS m
-  FROM cm a FULL JOIN cm b ON a.dim = b.dim AND a.label <> b.label WHERE a.label IS NOT NULL AND b.label IS NOT NULL GROUP BY a.label, b.label),
+cd AS (SELECT a.label AS la, b.label AS lb, sum(a.c * b.c) AS ab FROM cm a JOIN cm b ON a.dim = b.dim AND a.label <> b.label GROUP BY a.label, b.label),
+mm AS (SELECT a.label AS la, b.label AS lb, sqrt(greatest(a.cc + b.cc - 2 * coalesce(cd.ab, 0), 0)) AS m
+  FROM cc a JOIN cc b ON a.label <> b.label LEFT JOIN cd ON cd.la = a.label AND cd.lb = b.label),
 r AS (SELECT mm.la, max((sa.s + sb.s) / mm.m) AS r FROM mm JOIN sp sa ON sa.label = mm.la JOIN sp sb ON sb.label = mm.lb GROUP BY mm.la)
 SELECT round(avg(r), 6) AS db_index, CAST(count(*) AS BIGINT) AS n_labels FROM r"""
 
@@ -141,10 +142,54 @@ def f3_davies_bouldin(spark, sf):
     return ev.davies_bouldin(spark, lab).select(F.round("db_index", 6).alias("db_index"), "n_labels")
 
 
-@query("f4_k_sweep")
+K_GRID = list(range(2, 9))
+
+
+def _f4_sql():
+    parts = ["WITH " + S.CORPUS, S.hashed_long("corpus", "doc_id", "text"),
+             "xx AS MATERIALIZED (SELECT doc_id, sum(x * x) AS xx FROM hv GROUP BY doc_id)",
+             "smp AS MATERIALIZED (SELECT doc_id FROM corpus ORDER BY md5('42|' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 2000)",
+             "dots AS MATERIALIZED (SELECT a.doc_id AS i, b.doc_id AS j, sum(a.x * b.x) AS xy FROM hv a JOIN hv b USING (dim) "
+             "WHERE a.doc_id IN (SELECT doc_id FROM smp) AND b.doc_id IN (SELECT doc_id FROM smp) GROUP BY a.doc_id, b.doc_id)",
+             "pd AS MATERIALIZED (SELECT a.doc_id AS i, b.doc_id AS j, sqrt(greatest(coalesce(xa.xx, 0) + coalesce(xb.xx, 0) "
+             "- 2 * coalesce(d.xy, 0), 0)) AS d FROM smp a JOIN smp b ON a.doc_id <> b.doc_id LEFT JOIN xx xa ON xa.doc_id = a.doc_id "
+             "LEFT JOIN xx xb ON xb.doc_id = b.doc_id LEFT JOIN dots d ON d.i = a.doc_id AND d.j = b.doc_id)"]
+    sel = []
+    for k in K_GRID:
+        g = f"k{k}_"
+        parts.append(S.fcm_ctes(model.STEPS, k, M, model.SEED, tag=g))
+        parts.append(f"""{g}lab AS MATERIALIZED (SELECT doc_id, k AS label FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY doc_id ORDER BY u DESC, k) AS r FROM {g}u{model.STEPS}) WHERE r = 1),
+{g}sl AS (SELECT l.* FROM {g}lab l JOIN smp USING (doc_id)),
+{g}cnt AS (SELECT label, count(*) AS n FROM {g}sl GROUP BY label),
+{g}md AS MATERIALIZED (SELECT p.i, l.label AS lj, sum(p.d) AS s FROM pd p JOIN {g}sl l ON l.doc_id = p.j GROUP BY p.i, l.label),
+{g}per AS (SELECT s.doc_id, c.n AS n_own, coalesce((SELECT m.s FROM {g}md m WHERE m.i = s.doc_id AND m.lj = s.label), 0) / greatest(c.n - 1, 1) AS a,
+  (SELECT min(m.s / c2.n) FROM {g}md m JOIN {g}cnt c2 ON c2.label = m.lj WHERE m.i = s.doc_id AND m.lj <> s.label) AS b
+  FROM {g}sl s JOIN {g}cnt c USING (label)),
+{g}sil AS (SELECT CASE WHEN (SELECT count(*) FROM {g}cnt) >= 2 THEN avg(CASE WHEN n_own > 1 THEN (b - a) / greatest(a, b) ELSE 0 END) END AS sil FROM {g}per),
+{g}nl AS (SELECT label, count(*) AS n FROM {g}lab GROUP BY label),
+{g}cm AS (SELECT l.label, h.dim, sum(h.x) / any_value(nl.n) AS c FROM hv h JOIN {g}lab l USING (doc_id) JOIN {g}nl nl USING (label) GROUP BY l.label, h.dim),
+{g}cc AS (SELECT label, sum(c * c) AS cc FROM {g}cm GROUP BY label),
+{g}xc AS (SELECT h.doc_id, sum(h.x * cm.c) AS xc FROM hv h JOIN {g}lab l USING (doc_id) JOIN {g}cm cm ON cm.label = l.label AND cm.dim = h.dim GROUP BY h.doc_id),
+{g}sp AS (SELECT l.label, avg(sqrt(greatest(coalesce(xx.xx, 0) - 2 * coalesce(xc.xc, 0) + cc.cc, 0))) AS s
+  FROM {g}lab l LEFT JOIN xx USING (doc_id) LEFT JOIN {g}xc xc USING (doc_id) JOIN {g}cc cc USING (label) GROUP BY l.label),
+{g}cd AS (SELECT a.label AS la, b.label AS lb, sum(a.c * b.c) AS ab FROM {g}cm a JOIN {g}cm b ON a.dim = b.dim AND a.label <> b.label GROUP BY a.label, b.label),
+{g}mm AS (SELECT a.label AS la, b.label AS lb, sqrt(greatest(a.cc + b.cc - 2 * coalesce(cd.ab, 0), 0)) AS m
+  FROM {g}cc a JOIN {g}cc b ON a.label <> b.label LEFT JOIN {g}cd cd ON cd.la = a.label AND cd.lb = b.label),
+{g}r AS (SELECT mm.la, max((sa.s + sb.s) / mm.m) AS r FROM {g}mm mm JOIN {g}sp sa ON sa.label = mm.la JOIN {g}sp sb ON sb.label = mm.lb GROUP BY mm.la)""")
+        sel.append(f"SELECT {k} AS k, (SELECT sil FROM {g}sil) AS silhouette, (SELECT avg(r) FROM {g}r) AS db_index, "
+                   f"(SELECT loss FROM {g}hist WHERE iter = {model.STEPS - 1}) AS fcm_loss, {model.STEPS} AS n_iter")
+    return (",\n".join(parts) + ",\nsw AS (" + " UNION ALL ".join(sel) + ")\n"
+            "SELECT CAST(k AS INTEGER) AS k, round(silhouette, 6) AS silhouette, round(db_index, 6) AS db_index, "
+            "round(fcm_loss, 6) AS fcm_loss, CAST(n_iter AS INTEGER) AS n_iter, "
+            "CAST(rank() OVER (ORDER BY silhouette DESC NULLS LAST) AS INTEGER) AS candidate_rank FROM sw")
+
+
+@query("f4_k_sweep", _f4_sql())
 def f4_k_sweep(spark, sf):
     vecs = common.corpus_vectors(spark, sf).select("doc_id", "embedding")
-    return ev.k_sweep(spark, vecs, range(2, 9), m=M, max_iter=model.STEPS, tol=0.0)
+    r = ev.k_sweep(spark, vecs, K_GRID, m=M, max_iter=model.STEPS, tol=0.0)
+    return r.select("k", F.round("silhouette", 6).alias("silhouette"), F.round("db_index", 6).alias("db_index"),
+                    F.round("fcm_loss", 6).alias("fcm_loss"), "n_iter", F.col("candidate_rank").cast("int").alias("candidate_rank"))
 
 
 M_GRID = [1.2, 1.5, 2.0, 2.5, 3.0, 4.0]   # fixed: the reference's fuzziness grid
