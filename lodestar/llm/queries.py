@@ -28,7 +28,7 @@ WITH RECURSIVE w AS (
   FROM documents),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
-    ELSE list_transform(range(1, len(ws) - 2), i -> array_to_string(ws[i:i + 3], ' ')) END) AS sh FROM w),
+    ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS sh FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 k AS (SELECT sh FROM s GROUP BY sh HAVING count(*) > 1),
 c AS (SELECT doc_id, sh FROM s SEMI JOIN k USING (sh)),
@@ -45,3 +45,24 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents on 4-word shingles."""
     from lodestar.llm.minhash import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"), k=4)
+
+
+#: Every window's words as one string; the smallest id of each keeps it.
+OP10_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, unnest(range(1, len(ws) - 48)) AS i, ws FROM w WHERE len(ws) >= 50),
+k AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS k FROM s),
+d AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY k) AS first FROM k) WHERE first < doc_id),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM d),
+p AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+t AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n FROM p ANTI JOIN c USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(t.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN t USING (doc_id)
+"""
+
+
+@query("op10_substring_dedup", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words that a document with a smaller id holds are cut from all documents."""
+    from lodestar.llm.substring import drop_repeats
+    return drop_repeats(table(spark, sf_dir, "documents"), width=50)
