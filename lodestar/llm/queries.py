@@ -66,3 +66,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words that a document with a smaller id holds are cut from all documents."""
     from lodestar.llm.substring import drop_repeats
     return drop_repeats(table(spark, sf_dir, "documents"), width=50)
+
+
+@query("op6_quality_rules")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdicts for all documents, with cutoffs from the labelled ones."""
+    from lodestar.llm.quality import judge
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
