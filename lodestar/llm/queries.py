@@ -73,3 +73,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdicts for all documents, with cutoffs from the labelled ones."""
     from lodestar.llm.quality import judge
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_mix_sources")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document a mix of 150 % of all words takes."""
+    from lodestar.llm.mixing import mix
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
