@@ -80,3 +80,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document a mix of 150 % of all words takes."""
     from lodestar.llm.mixing import mix
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def tokenizer():
+    """The byte-level BPE of 50,257 ids; its files come with the ``public_tokenizers`` package of every worker."""
+    import public_tokenizers
+
+    from lodestar.llm.packing import byte_bpe
+    return byte_bpe(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op9_pack_sequences")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences of 2048 tokens."""
+    from lodestar.llm.packing import pack_documents
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer(), capacity=2048)
