@@ -95,3 +95,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of 2048 tokens."""
     from lodestar.llm.packing import pack_documents
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer(), capacity=2048)
+
+
+@query("op1_main_text")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from lodestar.llm.maintext import extract_pages
+    return extract_pages(table(spark, sf_dir, "pages"))
