@@ -48,6 +48,9 @@ NEVER_NAMED = {
     "signup", "social", "sponsor", "sponsored", "sponsors", "subscribe", "subscription", "toolbar", "widget", "widgets",
 }
 TOP_NAMED = {"header", "topbar"}
+#: Elements that pages use for anything; what labelled pages use them for says little about others.
+GENERIC = {"div", "section", "span", "center", "table", "tbody", "tr", "td"}
+HEADINGS = {"h1", "h2", "h3"}
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^'"<>]++|"[^"]*+"|'[^']*+')*+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -56,12 +59,12 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Item:
-    """A tag (``name``) or a stretch of text (``name`` is None)."""
+    """A tag (``name``) or a stretch of text (``name`` is None); ``within``: inside of a marked article."""
 
-    __slots__ = ("name", "close", "text", "never", "around")
+    __slots__ = ("name", "close", "text", "never", "around", "within")
 
-    def __init__(self, name, close, text, never, around):
-        self.name, self.close, self.text, self.never, self.around = name, close, text, never, around
+    def __init__(self, name, close, text, never, around, within):
+        self.name, self.close, self.text, self.never, self.around, self.within = name, close, text, never, around, within
 
 
 def _named(attributes: str) -> tuple[set[str], bool]:
@@ -92,9 +95,12 @@ def parse(page: str) -> list[Item]:
     def around():
         return stack[-1][0] if stack else ""
 
+    def within():
+        return any(s[0] in CONTENT for s in stack)
+
     def text(s):
         if s:
-            items.append(Item(None, False, s, state(), around()))
+            items.append(Item(None, False, s, state(), around(), within()))
 
     pos = 0
     find = _TOKEN.search
@@ -113,7 +119,7 @@ def parse(page: str) -> list[Item]:
                     if k in marks:
                         marks[k] = len(items)
                 del stack[depth:]
-            items.append(Item(name, True, "", inside, around()))
+            items.append(Item(name, True, "", inside, around(), within()))
             continue
         # an element that its parent's next child closes
         if name == "p" or name in BLOCK:
@@ -125,16 +131,16 @@ def parse(page: str) -> list[Item]:
         attributes = m[3]
         if not never and attributes:
             names, hidden = _named(attributes)
-            in_content = any(s[0] in CONTENT for s in stack)
-            never = hidden or name not in CONTENT and name not in ("body", "html") and (
+            in_content = within()
+            never = hidden or (in_content or name not in CONTENT) and name not in ("body", "html") and (
                 not NEVER_NAMED.isdisjoint(names) or not in_content and not TOP_NAMED.isdisjoint(names))
             if never and not hidden and name not in VOID:
                 marks[len(items)] = -1
         if name == "header" and not never:
-            never = not any(s[0] in CONTENT for s in stack)
+            never = not within()
             if never:
                 marks[len(items)] = -1
-        items.append(Item(name, False, "", never, around()))
+        items.append(Item(name, False, "", never, around(), within()))
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, pos)
             at = pos = end.end() if end else len(page)
@@ -197,14 +203,14 @@ def weights(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
         inside, outside = counts.get((f, True), 0) + 1.0, counts.get((f, False), 0) + 1.0
         if f.startswith("<"):
             cost = 0.25 + max(0.0, math.log(outside / inside))
-            out[f] = -(10 * cost if f[1:] in SECTION else min(2.0, cost))
+            out[f] = -(10 * cost if f[1:] in SECTION else min(0.5 if f[1:] in GENERIC else 2.0, cost))
         else:
             out[f] = min(1.0, max(0.25, 0.5 + math.log10(inside / outside) / 4))
     return out
 
 
 def _default(name: str) -> float:
-    return -20.0 if name in SECTION else -1.0 if name in BLOCK else -0.25
+    return -20.0 if name in SECTION else -1.0 if name in ("li", "a", "option", "dt") else -0.25
 
 
 def main_text(page: str | None, weight: dict[str, float]) -> str:
@@ -222,6 +228,8 @@ def main_text(page: str | None, weight: dict[str, float]) -> str:
                 best, best_run = total, (start, i)
         else:
             w = weight.get("<" + x.name, _default(x.name))
+            if x.within and x.name not in CONTENT:  # menus, notes and the like that an article holds don't end it
+                w = max(w, -0.25)
             total += w / 10 if x.never and x.name not in SECTION else w
     if best_run is None:
         return ""
@@ -231,6 +239,12 @@ def main_text(page: str | None, weight: dict[str, float]) -> str:
         lo -= 1
     while hi + 1 < len(items) and not (items[hi + 1].name in BLOCK):
         hi += 1
+    # a heading right before the run leads into it
+    i = lo - 1
+    while i >= 0 and items[i].name not in SECTION and not items[i].never and not (items[i].name is None and items[i].around not in HEADINGS and items[i].text.strip()):
+        if items[i].name in HEADINGS and not items[i].close:
+            lo = i
+        i -= 1
     blocks, own = [], []
 
     def end():
