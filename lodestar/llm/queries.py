@@ -102,3 +102,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     from lodestar.llm.maintext import extract_pages
     return extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents that are not held out."""
+    from lodestar.llm.langid import identify
+    return identify(table(spark, sf_dir, "documents"))
