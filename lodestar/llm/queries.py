@@ -109,3 +109,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the documents that are not held out."""
     from lodestar.llm.langid import identify
     return identify(table(spark, sf_dir, "documents"))
+
+
+@query("op8_url_filter")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    from lodestar.llm.urlfilter import judge_urls
+    return judge_urls(table(spark, sf_dir, "pages"))
