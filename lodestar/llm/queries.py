@@ -116,3 +116,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page's url."""
     from lodestar.llm.urlfilter import judge_urls
     return judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op7_nearest_vectors")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every 20th one, against all."""
+    from lodestar.llm.forest import nearest
+    return nearest(table(spark, sf_dir, "embeddings"))
