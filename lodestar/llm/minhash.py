@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.components import connected_components
+from lodestar.llm.shared import written
 from lodestar.llm.wordhash import mix64, slices, split_words, window_hashes
-from lodestar.session import scratch_path
 
 M, R = 14, 3
 N_HASH = 2 * M * R
@@ -214,13 +214,6 @@ def _compare_buckets(percent: int):
     return run
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: lineage ends here, and lost executors take nothing with them."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
     """``labels`` (c, component) with the components that ``links`` (u, v) connect brought together."""
     ends = (links.join(labels.select(F.col("c").alias("u"), F.col("component").alias("cu")), "u")
@@ -240,23 +233,23 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     ``text`` are read, so other columns may have any name.
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    described = _written(plain.mapInArrow(_describe(k), "doc_id long, n_shingles long, digest binary, a array<long>, b array<long>, sig binary"),
+    described = written(plain.mapInArrow(_describe(k), "doc_id long, n_shingles long, digest binary, a array<long>, b array<long>, sig binary"),
                          "minhash")
     some = described.filter("doc_id is not null and n_shingles > 0")
     first = some.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"))
-    classes = _written(first.join(some.select("digest", "doc_id", "n_shingles", "a", "b", "sig").dropDuplicates(["digest", "doc_id"]),
+    classes = written(first.join(some.select("digest", "doc_id", "n_shingles", "a", "b", "sig").dropDuplicates(["digest", "doc_id"]),
                                   ["digest", "doc_id"]).drop("n")
                        .withColumn("c", F.monotonically_increasing_id()), "minhash-classes")
 
     groups = classes.select("c", F.explode("a").alias("key")).unionByName(classes.select("c", F.explode("b").alias("key")))
     shared = groups.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     hits = groups.join(shared, "key").groupBy("c").agg(F.collect_list("key").alias("keys"))
-    members = _written(classes.join(hits, "c").withColumn("sa", F.array_intersect("a", "keys"))
+    members = written(classes.join(hits, "c").withColumn("sa", F.array_intersect("a", "keys"))
                        .withColumn("sb", F.array_intersect("b", "keys")).drop("keys")
                        .filter((F.size("sa") > 0) & (F.size("sb") > 0)), "minhash-members")
     small = members.count() <= MAX_BROADCAST_CLASSES
     wanted = F.broadcast if small else (lambda x: x)
-    sets = _written(plain.join(wanted(members.select("doc_id").distinct()), "doc_id", "left_semi")
+    sets = written(plain.join(wanted(members.select("doc_id").distinct()), "doc_id", "left_semi")
                     .mapInArrow(_full_sets(k), "digest binary, shingles binary")
                     .join(wanted(members.select("digest", "c")), "digest").select("c", "shingles").dropDuplicates(["c"]), "minhash-sets")
 
@@ -273,13 +266,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     # several texts under one id: their classes belong together
     twice = (some.join(classes.select("digest", "c"), "digest").groupBy("doc_id")
              .agg(F.min("c").alias("u"), F.collect_set("c").alias("cs")).filter(F.size("cs") > 1).select("u", F.explode("cs").alias("v")))
-    links = _written(confirmed.unionByName(twice), "minhash-links")
+    links = written(confirmed.unionByName(twice), "minhash-links")
     everyone = classes.select("c", F.col("c").alias("component"))
-    labels = _written(_merge(everyone, links), "minhash-labels")
+    labels = written(_merge(everyone, links), "minhash-labels")
 
     units = (members.join(labels, "c").select("c", "component", "a", F.explode("sa").alias("key"))
              .select("c", "component", "key", (F.array_position("a", F.col("key")) - 1).cast("int").alias("slot")))
-    open_units = _written(units.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
+    open_units = written(units.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
                           .filter("lo < hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), "n"), "minhash-open")
     rows = open_units.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0
     if rows:
@@ -290,8 +283,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
                  .withColumn("task", F.pmod(F.xxhash64("key", "p", "q"), F.lit(rows // TASK_ROWS + 1)))
                  .select("task", "key", "p", "q", "block", "slot", "c", "component")
                  .join(members.select("c", "n_shingles", "sig", "a", "b"), "c").join(sets, "c"))
-        rest = _written(tasks.groupBy("task").applyInArrow(_compare_buckets(percent), "u long, v long"), "minhash-rest")
-        labels = _written(_merge(labels, rest), "minhash-labels")
+        rest = written(tasks.groupBy("task").applyInArrow(_compare_buckets(percent), "u long, v long"), "minhash-rest")
+        labels = written(_merge(labels, rest), "minhash-labels")
 
     least = classes.select("c", "doc_id").join(labels, "c").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_class = classes.select("c", "digest").join(labels, "c").join(least, "component").select("digest", "component_id")

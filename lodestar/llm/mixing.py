@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.session import scratch_path
+from lodestar.llm.shared import written
+from lodestar.llm.wordhash import slices, split_words
 
 #: Words of a shard, about; the shard is the unit whose documents are put in order.
 SHARD_WORDS = 2_000_000
@@ -39,6 +40,11 @@ def n_words(text: Column) -> Column:
     return F.when(bare == "", F.lit(0)).otherwise(F.size(F.split(bare, "[ \\t\\n\\x0B\\f\\r]+", -1))).cast("long")
 
 
+def place_of(seed: int) -> Column:
+    """A document's place in the seeded order, from its id and text."""
+    return F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def sainte_lague(votes: np.ndarray, seats: int, caps: np.ndarray) -> np.ndarray:
     """Integer seats by highest quotients ``votes / (2 s + 1)``, at most ``caps`` each; ties go to the earlier entry.
 
@@ -112,14 +118,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     laid one after the other.  A source without words has target 0.  The
     result depends on the rows and ``seed`` only, not on their partitions.
     """
-    spark = docs.sparkSession
-    path = scratch_path(spark, "mix")
-    docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"),
-                F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("place")).write.parquet(path)
-    sized = spark.read.parquet(path)
-    path = scratch_path(spark, "mix-sources")
-    targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, max_repeat).write.parquet(path)
-    sources = spark.read.parquet(path)
+    sized = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+                                n_words(F.col("text")).alias("size"), place_of(seed).alias("place")), "mix")
+    sources = written(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, max_repeat), "mix-sources")
 
     # one block size for all: small enough for the smallest source
     all_sources = Window.partitionBy(F.lit(1))
@@ -159,3 +160,43 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     return laid.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"),
                        (F.col("whole") * F.col("size") + first + second).cast("long").alias("taken"),
                        begins.cast("long").alias("word_from"), "place", "source")
+
+
+def _repeat(columns: list[str]):
+    def run(batches):
+        for b in batches:
+            for at, n in slices(b.column("text")):
+                part = b.slice(at, n)
+                words = split_words(part.column("text"))
+                take, texts = [], []
+                for i, (taken, begin) in enumerate(zip(part.column("taken").to_pylist(), part.column("word_from").to_pylist())):
+                    lo, size = int(words.first[i]), int(words.first[i + 1] - words.first[i])
+                    if not taken or not size:
+                        continue
+                    whole, run_words = divmod(taken, size)
+                    own = [part.column("text")[i].as_py()] * whole
+                    if run_words:
+                        cut = lambda a, z: words.data[words.start[lo + a]:words.end[lo + z - 1]].tobytes().decode()  # noqa: E731, B023
+                        end = begin + run_words
+                        own.append(cut(begin, end) if end <= size else cut(begin, size) + "\n" + cut(0, end - size))
+                    take += [i] * len(own)
+                    texts += own
+                out = part.take(pa.array(take, pa.int64()))
+                yield pa.record_batch({c: pa.array(texts, pa.string()) if c == "text" else out.column(c) for c in columns})
+    return run
+
+
+def taken_text(docs: DataFrame, taken: DataFrame, seed: int = 7) -> DataFrame:
+    """The rows of the mix, with the columns of ``docs``: a row for each whole repeat and one for the words beyond.
+
+    ``taken`` is what ``mix`` gave for ``docs`` and ``seed``.  Documents that
+    the mix does not take are left out.  Equal rows are taken together.
+    """
+    columns = docs.columns
+    plan = written(taken.select("place", "taken", "word_from"), "mix-taken")
+    keyed = docs.withColumn("place", place_of(seed))
+    if not plan.groupBy("place").count().filter("count > 1").isEmpty():
+        plan = plan.groupBy("place").agg(F.sum("taken").alias("taken"), F.max("word_from").alias("word_from"))
+        keyed = keyed.dropDuplicates(["place"])
+    chosen = keyed.join(plan.filter("taken > 0"), "place").select(*columns, "taken", "word_from")
+    return chosen.mapInArrow(_repeat(columns), docs.schema)

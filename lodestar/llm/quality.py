@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.session import scratch_path
+from lodestar.llm.shared import written
 
 #: Share of a stratum's good documents that all rules together may reject.
 RISK = 0.02
@@ -52,7 +52,7 @@ def _repeated(h: Column) -> Column:
 
 
 def measures(docs: DataFrame) -> DataFrame:
-    """``docs`` columns ``doc_id``, ``lang`` and the base counts of every whole text (null: no words).
+    """``doc_id``, ``lang``, ``mark`` (hash of the text) and the base counts of every whole text (null: no words).
 
     ``n_repeat_words`` counts words in 3-word windows found twice or more in
     the text; ``n_dup_lines`` counts lines with a word that equal an earlier
@@ -63,7 +63,7 @@ def measures(docs: DataFrame) -> DataFrame:
     bare = F.btrim(text, F.lit(_SPACES))
     lines = F.filter(F.split(text, "\n", -1), lambda x: _without(x, _SPACES) != "")
     counted = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("mark"),
         F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, "[ \\t\\n\\x0B\\f\\r]+", -1)).alias("w"),
         F.length(_without(text, _SPACES)).cast("long").alias("word_chars"),
         (F.length(text) - F.length(_without(text, _SYMBOLS))).cast("long").alias("n_symbols"),
@@ -71,12 +71,12 @@ def measures(docs: DataFrame) -> DataFrame:
         lines.alias("lines"))
     n = F.size("w")
     hashed = counted.select(
-        "doc_id", "lang", n.cast("long").alias("n_words"), "word_chars", "n_symbols", "n_upper",
+        "doc_id", "lang", "mark", n.cast("long").alias("n_words"), "word_chars", "n_symbols", "n_upper",
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3),
                                    lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)))).alias("h"))
-    kept = ["doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_upper", "n_lines", "n_dup_lines"]
+    kept = ["doc_id", "lang", "mark", "n_words", "word_chars", "n_symbols", "n_upper", "n_lines", "n_dup_lines"]
     ordered = hashed.select(*kept, F.when(F.size(F.array_distinct("h")) < F.size("h"),
                                           F.sort_array(F.transform("h", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))).alias("s"))
     places = ordered.select(*kept, F.sort_array(F.transform(_repeated(F.col("s")), lambda x: x["i"])).alias("p"))
@@ -150,20 +150,18 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: f
 
 
 def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept)`` and the rules' measures.
+    """``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept)``, ``lang``, ``mark`` and the rules' measures.
 
     One row per row of ``docs``.  Null or empty texts have no words and fail
     the base test.  Null languages are a stratum of their own.  Without
     usable labels only the base test decides.  Counts are computed once and
     written to the shared folder, as the fit and the verdict both read them.
     """
-    path = scratch_path(docs.sparkSession, "quality")
-    measures(docs).write.parquet(path)
-    measured = with_rules(docs.sparkSession.read.parquet(path))
+    measured = with_rules(written(measures(docs), "quality"))
     cuts = cutoffs(measured, labels, risk, error).withColumnRenamed("lang", "stratum")
     over = F.lit(False)
     for r in RULES:
         over = over | F.coalesce(F.col(r) > F.col(f"cut_{r}"), F.lit(False))
     judged = measured.join(cuts, F.col("lang").eqNullSafe(F.col("stratum")), "left")
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                         (~F.col("base_failed") & ~over).alias("kept"), "lang", *RULES)
+                         (~F.col("base_failed") & ~over).alias("kept"), "lang", "mark", *RULES)

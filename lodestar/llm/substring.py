@@ -15,9 +15,9 @@ smallest id of each sequence keeps it.
 
 Both steps are a grouped minimum (with map-side partial sums) and an equi-join
 back to single rows, so a passage that a third of all documents share is never
-gathered anywhere; the join's hot keys are split by adaptive execution.  Exact
+gathered anywhere; the joins' hot keys are split by adaptive execution.  Exact
 copies of a whole text skip both steps: all their windows start in the
-smallest copy.
+smallest copy.  Texts without a shared anchor are never moved.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.llm.shared import match, written
 from lodestar.llm.wordhash import slices, split_words, window_hashes
 
 #: Perfect difference sets (modulus: residues).
@@ -106,7 +107,7 @@ def _windows(width: int):
     return run
 
 
-def _kept(width: int, with_text: bool):
+def _kept(width: int, with_text: bool, carry: tuple[str, ...]):
     """Words that no dropped window covers, with their count, digest and (on request) text."""
     def run(batches):
         for b in batches:
@@ -127,19 +128,16 @@ def _kept(width: int, with_text: bool):
                         np.cumsum(gone, out=gone)
                     keep = gone[:-1] == 0
                     raw = words.data[words.base[i]:words.base[i + 1]].tobytes()
-                    if keep.all():
-                        joined = b" ".join(raw.split())
-                    else:
-                        joined = b" ".join([w for w, k in zip(raw.split(), keep.tolist()) if k])
+                    joined = b" ".join(raw.split() if keep.all() else [w for w, k in zip(raw.split(), keep.tolist()) if k])
                     total.append(hi - lo)
                     removed.append(int((~keep).sum()))
                     digest.append(hashlib.sha256(joined).hexdigest())
                     if with_text:
                         whole = part.column("text")[i].as_py()
                         texts.append(whole if keep.all() else _cut(raw, words, lo, int(words.base[i]), keep))
-                out = {"doc_id": part.column("doc_id"), "mark": part.column("mark"), "n_words": pa.array(total, pa.int64()),
+                out = {"doc_id": part.column("doc_id"), "n_words": pa.array(total, pa.int64()),
                        "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(digest, pa.string())}
-                yield pa.record_batch(out | ({"kept_text": pa.array(texts, pa.string())} if with_text else {}))
+                yield pa.record_batch(out | ({"kept_text": pa.array(texts, pa.string())} if with_text else {}) | {c: part.column(c) for c in carry})
     return run
 
 
@@ -154,40 +152,52 @@ def _cut(raw: bytes, words, lo: int, base: int, keep: np.ndarray) -> str:
     return b"".join(out).decode()
 
 
-def drop_repeats(docs: DataFrame, width: int = 50, with_text: bool = False) -> DataFrame:
-    """``(doc_id, n_words, n_removed, kept_sha256[, kept_text])``, one row per row of ``docs``.
+def drop_repeats(docs: DataFrame, width: int = 50, with_text: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, n_words, n_removed, kept_sha256[, kept_text][, carried columns])``, one row per row of ``docs``.
 
     Words are the maximal runs without ASCII white space, taken unchanged; a
     word goes if a window over it also starts in a document with a smaller
     id.  Null or empty text: no words, the digest of the empty string (and
     ``kept_text`` as it came).  Rows without an id lose nothing and take
     nothing from others.  Rows that repeat an id are one document: they take
-    nothing from each other.  Only ``doc_id`` and ``text`` are read, so other
-    columns may have any name.
+    nothing from each other.  Only ``doc_id``, ``text`` and the columns in
+    ``carry`` (strings, passed on) are read, so others may have any name.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    more = [F.col(c).cast("string").alias(c) for c in carry]
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
     own = base.filter("doc_id is not null and text is not null").withColumn("mark", F.hash("text"))
 
+    # exact copies of a whole text with a smaller id
     names = own.select("doc_id", "mark", F.xxhash64("text").alias("t"), F.length("text").alias("n"))
-    first = names.groupBy("t", "mark", "n").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-    copies = (names.join(first, ["t", "mark", "n"]).filter("doc_id > first").select("doc_id", "mark").distinct()
-              .withColumn("is_copy", F.lit(True)))
-    known = own.join(copies, ["doc_id", "mark"], "left").select("doc_id", "mark", "text", F.coalesce("is_copy", F.lit(False)).alias("is_copy"))
-    single = known.filter("not is_copy").select("doc_id", "mark", "text")
+    first = written(names.groupBy("t", "mark", "n").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+                     .filter("first < last"), "substring-first")
+    copies = written(names.join(first, ["t", "mark", "n"]).filter("doc_id > first").select("doc_id", "mark").distinct(), "substring-copies")
+    single = match(own, copies, ["doc_id", "mark"], "left_anti").select("doc_id", "mark", "text", *carry)
 
     rows = "h long, doc_id long, loc long"
-    anchors = single.mapInArrow(_anchors(width), rows)
-    shared = anchors.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("h")
+    anchors = single.select("doc_id", "mark", "text").mapInArrow(_anchors(width), rows)
+    shared = written(anchors.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("h"),
+                      "substring-shared")
     mark, place = F.shiftright("loc", 32).cast("int").alias("mark"), F.col("loc").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
-    found = (anchors.join(shared, "h").select("doc_id", mark, place.alias("p"))
-             .groupBy("doc_id", "mark").agg(F.collect_list("p").alias("anchors")))
-    windows = single.join(found, ["doc_id", "mark"]).select("doc_id", "mark", "text", "anchors").mapInArrow(_windows(width), rows)
-    owner = windows.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("h", "lo")
-    dropped = (windows.join(owner, "h").filter("doc_id > lo").select("doc_id", mark, place.alias("p"))
-               .groupBy("doc_id", "mark").agg(F.collect_list("p").alias("starts")))
-
-    fields = "doc_id long, mark int, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if with_text else "")
-    done = known.join(dropped, ["doc_id", "mark"], "left").mapInArrow(_kept(width, with_text), fields).drop("mark")
-    rest = (base.filter("doc_id is null or text is null")
-            .select("doc_id", F.lit(0).alias("mark"), "text", F.lit(False).alias("is_copy"), F.lit(None).cast("array<int>").alias("starts")))
-    return done.unionByName(rest.mapInArrow(_kept(width, with_text), fields).drop("mark"))
+    found = written(anchors.join(shared, "h").select("doc_id", mark, place.alias("p"))
+                     .groupBy("doc_id", "mark").agg(F.collect_list("p").alias("anchors")), "substring-found")
+    ids = found.select("doc_id", "mark")
+
+    # only texts with shared anchors are dealt out by id, once for all three uses
+    suspects = match(single, ids, ["doc_id", "mark"], "left_semi")
+    windows = (suspects.join(found, ["doc_id", "mark"], "left").select("doc_id", "mark", "text", "anchors", *carry)
+               .mapInArrow(_windows(width), rows))
+    # the owners' key is an expression of the grouped one: they are dealt anew, so that the join can split hot windows
+    owner = (windows.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
+             .select((F.col("h").bitwiseXOR(F.lit(1))).alias("key"), "lo"))
+    dropped = (windows.withColumn("key", F.col("h").bitwiseXOR(F.lit(1))).join(owner, "key").filter("doc_id > lo")
+               .select("doc_id", mark, place.alias("p")).groupBy("doc_id", "mark").agg(F.collect_list("p").alias("starts")))
+
+    fields = ("doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if with_text else "")
+              + "".join(f", {c} string" for c in carry))
+    shape = lambda df, copy: df.select("doc_id", "text", F.lit(copy).alias("is_copy"),
+                                       F.lit(None).cast("array<int>").alias("starts"), *carry)
+    cut = suspects.join(dropped, ["doc_id", "mark"], "left").select("doc_id", "text", F.lit(False).alias("is_copy"), "starts", *carry)
+    whole = (shape(match(single, ids, ["doc_id", "mark"], "left_anti"), False).unionByName(shape(match(own, copies, ["doc_id", "mark"], "left_semi"), True))
+             .unionByName(shape(base.filter("doc_id is null or text is null"), False)))
+    return cut.unionByName(whole).mapInArrow(_kept(width, with_text, tuple(carry)), fields)
