@@ -123,3 +123,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every 20th one, against all."""
     from lodestar.llm.forest import nearest
     return nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op5_license_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The license notices and texts that each document holds."""
+    from lodestar.llm.licenses import scan_documents
+    return scan_documents(table(spark, sf_dir, "documents"))
