@@ -8,7 +8,9 @@ until the ranges of rows that share the prefix hold enough entries.  Their
 union is scored exactly, in double precision, on the original vectors.
 
 Inner products become angles by one more coordinate that fills every row up
-to the shard's largest norm.
+to the largest norm.  Rows are first put in bands whose norms differ by less
+than a factor of two, each with its own trees, so that a few long vectors do
+not make all others look alike.
 
 Every block of queries meets every shard in a task of its own; shards and
 blocks have bounded sizes, so a hot vector or region has no larger group than
@@ -34,8 +36,10 @@ SHARD_ROWS = 8192
 BLOCK_QUERIES = 4096
 TREES = 128
 BITS = 24
-#: A query's ranges hold at least this many entries (repeats counted), as a share of ``SHARD_ROWS``.
+#: A query's ranges hold at least this many entries (repeats counted), as a share of the rows in the trees ...
 ENTRIES = 0.5
+#: ... and at least this many; fewer rows are all looked at.
+LEAST_ENTRIES = 512
 SEED = 11
 
 
@@ -74,11 +78,6 @@ class Forest:
         """For every row of ``q``: sorted numbers of the rows met when the trees have ascended far enough."""
         norm = np.sqrt((q * q).sum(axis=1, keepdims=True))
         codes = self.codes(np.c_[q / norm, np.zeros(len(q))])
-        if self.n <= entries:
-            everything = np.arange(self.n)
-            for _ in range(len(q)):
-                yield everything
-            return
         lo = np.zeros((len(q), self.trees), dtype=np.int64)
         hi = np.full((len(q), self.trees), self.n, dtype=np.int64)
         done = np.zeros(len(q), dtype=bool)
@@ -112,7 +111,19 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
 
 
-def _search(k: int, entries: int, trees: int, bits: int):
+def _banded(x: np.ndarray, q: np.ndarray, entries: float, trees: int, bits: int):
+    """Candidates of every query from the trees of all norm bands."""
+    band = np.frexp(np.sqrt((x * x).sum(axis=1)))[1]
+    parts = []
+    for e in np.unique(band):
+        own = np.flatnonzero(band == e)
+        least = max(LEAST_ENTRIES, int(entries * len(own)))
+        parts.append((own, Forest(x[own], trees, bits).candidates(q, least) if len(own) > least else None))
+    for _ in range(len(q)):
+        yield np.concatenate([own if near is None else own[next(near)] for own, near in parts])
+
+
+def _search(k: int, entries: float, trees: int, bits: int):
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
         out_q, out_v, out_s = [], [], []
         if rows.num_rows and queries.num_rows:
@@ -121,9 +132,8 @@ def _search(k: int, entries: int, trees: int, bits: int):
             ids, x = ids[order], x[order]
             several = len(np.unique(ids)) < len(ids)
             qids, q = queries.column("vec_id").to_numpy(), _matrix(queries.column("embedding"))
-            forest = Forest(x, trees, bits)
             found: dict[int, list] = {}
-            for i, near in enumerate(forest.candidates(q, entries)):
+            for i, near in enumerate(_banded(x, q, entries, trees, bits)):
                 near = near[ids[near] != qids[i]]
                 score = x[near] @ q[i]
                 own = ids[near]
@@ -172,7 +182,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, shard_rows: int =
     asked = (rows.filter(is_query).withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "vec_id"), F.lit(blocks)).cast("int"))
              .withColumn("shard", each(shards)))
     found = (data.groupBy("shard", "block", "d").cogroup(asked.groupBy("shard", "block", "d"))
-             .applyInArrow(_search(k, int(entries * shard_rows), trees, bits), "query_id long, vec_id long, score double"))
+             .applyInArrow(_search(k, entries, trees, bits), "query_id long, vec_id long, score double"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

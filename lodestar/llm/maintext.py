@@ -186,6 +186,8 @@ def observations(page: str) -> dict[tuple[str, bool], int] | None:
     out: dict[tuple[str, bool], int] = {}
     for i, x in enumerate(items):
         inside = lo < i < hi and not x.never
+        if x.never and x.name not in SECTION:  # left out by themselves: they say nothing about tags elsewhere
+            continue
         if x.name is not None:
             key = ("<" + x.name, inside)
             out[key] = out.get(key, 0) + 1
@@ -210,7 +212,7 @@ def weights(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
 
 
 def _default(name: str) -> float:
-    return -20.0 if name in SECTION else -1.0 if name in ("li", "a", "option", "dt") else -0.25
+    return -20.0 if name in SECTION else -1.0 if name == "a" else -0.25
 
 
 def main_text(page: str | None, weight: dict[str, float]) -> str:
@@ -223,7 +225,7 @@ def main_text(page: str | None, weight: dict[str, float]) -> str:
                 continue
             if total <= 0:
                 total, start = 0.0, i
-            total += n * weight.get(x.around, 1.0)
+            total += n * weight.get(x.around, 0.25 if x.around == "a" else 1.0)
             if total > best:
                 best, best_run = total, (start, i)
         else:
@@ -231,6 +233,8 @@ def main_text(page: str | None, weight: dict[str, float]) -> str:
             if x.within and x.name not in CONTENT:  # menus, notes and the like that an article holds don't end it
                 w = max(w, -0.25)
             total += w / 10 if x.never and x.name not in SECTION else w
+            if x.never and not x.close and not x.within and not (i and items[i - 1].never):
+                total -= 3.0  # an element that is left out stands rather between than within articles
     if best_run is None:
         return ""
     lo, hi = best_run
