@@ -161,3 +161,25 @@ def content_id(col) -> Column:
 def snippet(col, n: int) -> Column:
     """B18."""
     return F.substring(_c(col), 1, n)
+
+
+def fixed_digits(x, digits: int, given: int = 4) -> Column:
+    """A number of magnitude below 8, already rounded to ``given`` decimals,
+    with ``digits`` decimals as C's ``%.nf`` prints it: a half goes up or down
+    by the exact binary value, which Java's formatter does not look at.
+    Scaling by a power of two is exact, so the comparison is one of integers
+    (small numbers are scaled further, down to the last bit of 0.0001)."""
+    x = _c(x)
+    a = F.abs(x)
+    scale, step, unit = 10 ** given, 10 ** (given - digits), 10 ** digits
+    t = F.round(a * scale).cast("long")
+
+    def beyond(bits: int) -> Column:
+        exact = (a * float(2 ** bits)).cast("long").cast("decimal(19,0)") * F.lit(scale).cast("decimal(6,0)")
+        return exact - t.cast("decimal(9,0)") * F.lit(str(2 ** bits)).cast("decimal(21,0)")
+
+    over = F.when(a < 1 / 64, beyond(66)).otherwise(beyond(60))
+    low, high = F.pmod(t, F.lit(step)), F.floor(t / step)
+    up = (low * 2 > step) | ((low * 2 == step) & ((over > 0) | ((over == 0) & (F.pmod(high, F.lit(2)) == 1))))
+    n = high + F.when(up, 1).otherwise(0)
+    return F.format_string(f"%s%d.%0{digits}d", F.when(x < 0, F.lit("-")).otherwise(F.lit("")), F.floor(n / unit), F.pmod(n, F.lit(unit)))

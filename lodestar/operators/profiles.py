@@ -8,10 +8,8 @@ cluster holding a large share of the rows never ships them whole."""
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lodestar.functions import text as tx
 from lodestar.functions.vectors import sq_dist_raw, top_memberships
@@ -80,28 +78,22 @@ def profiles(mem: DataFrame, centroids: np.ndarray) -> DataFrame:
                                                         s["entropy"].alias("entropy"))).alias("boundary_documents")))
 
 
-@F.pandas_udf(T.StringType())
-def _summary_line(cluster: pd.Series, size: pd.Series, cats: pd.Series, bd: pd.Series) -> pd.Series:
-    out = []
-    for c, n, cs, b in zip(cluster, size, cats, bd):
-        top = ", ".join(f"{x['category'].split('.')[-1]}({x['cnt']})" for x in list(cs)[:3]) if cs is not None else ""
-        line = f"Cluster {int(c):2d} | {int(n):4d} docs | {top}"
-        if b is not None and len(b):
-            first = b[0]
-            md = first["membership_distribution"]
-            items = list(md.items()) if isinstance(md, dict) else [tuple(x) for x in md]
-            top2 = " / ".join(f"{k}={v:.2f}" for k, v in items[:2])
-            line += f"\n  Boundary example: {top2}\n  Text: {first['text'][:tx.SNIPPET_SUMMARY].strip()} …"
-        out.append(line)
-    return pd.Series(out, dtype=object)
-
-
 def summary(prof: DataFrame) -> DataFrame:
-    """The printable summary per cluster, as rows."""
-    from lodestar.session import ship_package
-    ship_package()
-    return prof.select("cluster", _summary_line("cluster", "size", "top_categories", "boundary_documents")
-                       .alias("summary"))
+    """The printable summary per cluster, as rows.
+
+    Fixed format: ``Cluster %2d | %4d docs | <last part of category>(<count>), ...``
+    and, with a boundary document, ``Boundary example: <cluster>=%.2f / ...``
+    and ``Text: <start> …`` on lines of their own."""
+    three = F.slice(F.coalesce("top_categories", F.array().cast("array<struct<category:string,cnt:bigint>>")), 1, 3)
+    cats = F.array_join(F.transform(three, lambda c: F.concat(
+        F.element_at(F.split(F.coalesce(c["category"], F.lit("")), "[.]", -1), -1), F.lit("("), c["cnt"].cast("string"), F.lit(")"))), ", ")
+    first = F.get("boundary_documents", 0)
+    pairs = F.slice(F.map_entries(first["membership_distribution"]), 1, 2)
+    top2 = F.array_join(F.transform(pairs, lambda e: F.concat(e["key"], F.lit("="), tx.fixed_digits(e["value"], 2))), " / ")
+    example = F.concat(F.lit("\n  Boundary example: "), top2, F.lit("\n  Text: "),
+                       tx.strip_ws(F.substring(first["text"], 1, tx.SNIPPET_SUMMARY)), F.lit(" …"))
+    line = F.format_string("Cluster %2d | %4d docs | %s", "cluster", "size", cats)
+    return prof.select("cluster", F.concat(line, F.when(first.isNull(), F.lit("")).otherwise(example)).alias("summary"))
 
 
 def top_terms(mem: DataFrame, n: int = TOP_TERMS, k: int | None = None) -> DataFrame:
