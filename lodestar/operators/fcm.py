@@ -12,7 +12,6 @@ centroids.  Shuffle per iteration: batches * K * D rows, independent of N.
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -46,15 +45,6 @@ def init_membership(id_col, k: int, seed: int = DEFAULT_SEED):
     return F.transform(raw, lambda x: x / s)
 
 
-def _init_np(ids: np.ndarray, k: int, seed: int) -> np.ndarray:
-    u = np.empty((len(ids), k))
-    for i, d in enumerate(ids):
-        for c in range(k):
-            h = hashlib.md5(f"{seed}|{int(d)}|{c}".encode()).hexdigest()
-            u[i, c] = (int(h[:8], 16) + 1) / TWO_32
-    return u / u.sum(axis=1, keepdims=True)
-
-
 # ----------------------------------------------------------------- numpy kernels
 
 def _sqdist(x: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -63,8 +53,12 @@ def _sqdist(x: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 def _memb(d: np.ndarray, m: float) -> np.ndarray:
-    inv = (1.0 / d) ** (1.0 / (m - 1.0))
-    return inv / inv.sum(axis=1, keepdims=True)
+    """Memberships from squared distances, as a softmax of log distances (no overflow for m near 1)."""
+    score = np.log(d)
+    score /= 1.0 - m
+    score -= score.max(axis=1, keepdims=True)
+    weight = np.exp(score)
+    return weight / weight.sum(axis=1, keepdims=True)
 
 
 def _stack(col: pd.Series) -> np.ndarray:
@@ -76,7 +70,7 @@ _PART = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("c",
 KIND_WX, KIND_W, KIND_LOSS, KIND_DELTA = 0, 1, 2, 3
 
 
-def _step_fn(bc, m: float, k: int, seed: int):
+def _step_fn(bc, m: float, k: int):
     def run(batches):
         v_cur, v_prev, first = bc.value
         for pdf in batches:
@@ -84,12 +78,12 @@ def _step_fn(bc, m: float, k: int, seed: int):
                 continue
             x = _stack(pdf["embedding"])
             if v_cur is None:                       # job 0: centroids from the init only
-                u = _init_np(pdf["doc_id"].to_numpy(), k, seed)
+                u = _stack(pdf["u0"])
                 loss = delta = 0.0
             else:
                 d = _sqdist(x, v_cur)
                 u = _memb(d, m)
-                prev = _init_np(pdf["doc_id"].to_numpy(), k, seed) if first else _memb(_sqdist(x, v_prev), m)
+                prev = _stack(pdf["u0"]) if first else _memb(_sqdist(x, v_prev), m)
                 um = u ** m
                 loss = float((um * d).sum())
                 delta = float(np.abs(u - prev).max())
@@ -144,7 +138,8 @@ def fit(spark: SparkSession, vectors: DataFrame, k: int = DEFAULT_K, m: float =
 
     def run_job(v_cur, v_prev, first):
         bc = sc.broadcast((v_cur, v_prev, first))
-        parts = (x.mapInPandas(_step_fn(bc, m, k, seed), _PART)
+        rows = x.withColumn("u0", init_membership(F.col("doc_id"), k, seed)) if first else x  # the start is needed twice
+        parts = (rows.mapInPandas(_step_fn(bc, m, k), _PART)
                  .groupBy("kind", "c", "dim").agg(F.sum("v").alias("s"), F.max("v").alias("mx"))
                  .collect())                         # K*D + K + 2 rows
         bc.unpersist()
@@ -200,6 +195,8 @@ def predict(spark: SparkSession, model: FcmModel | None, df: DataFrame, k: int =
     """E7 (+E10): memberships of rows against fitted centroids; without a
     model every row gets the uniform 1/K vector."""
     keep = keep or [c for c in df.columns if c != "embedding"]
+    if model is not None and model.n_iter == 0 and not len(model.centroids):
+        raise ValueError("the model is not fitted")
     if model is None:
         from lodestar.functions.vectors import uniform_membership
         return df.select(*keep, uniform_membership(k).alias("membership"))

@@ -1,7 +1,4 @@
-"""Fuzzy c-means: membership properties (after the reference's tests) and
-the distributed fit equal to a plain numpy loop from the same start."""
-
-import hashlib
+"""Fuzzy c-means: properties that any fit has, and small cases worked out by hand."""
 
 import numpy as np
 import pytest
@@ -17,38 +14,48 @@ def _data(spark, n, d, seed):
     return x, df
 
 
-def _numpy_fit(x, k, m, max_iter, tol, seed):
-    u = np.array([[(int(hashlib.md5(f"{seed}|{i}|{c}".encode()).hexdigest()[:8], 16) + 1) / 2 ** 32
-                   for c in range(k)] for i in range(len(x))])
-    u /= u.sum(1, keepdims=True)
-    losses = []
-    for it in range(max_iter):
-        old = u
-        um = u ** m
-        v = (um.T @ x) / um.sum(0)[:, None]
-        d = np.maximum(((x[:, None, :] - v[None, :, :]) ** 2).sum(-1), 1e-10)
-        inv = (1.0 / d) ** (1.0 / (m - 1.0))
-        u = inv / inv.sum(1, keepdims=True)
-        losses.append(float(((u ** m) * d).sum()))
-        if np.abs(u - old).max() < tol:
-            return v, u, it + 1, losses
-    return v, u, max_iter, losses
+def _memberships(spark, model, df, n):
+    got = {r["doc_id"]: r for r in fcm.annotate(fcm.predict(spark, model, df, keep=["doc_id"])).collect()}
+    return np.array([got[i]["membership"] for i in range(n)]), [got[i]["label"] for i in range(n)]
 
 
 @pytest.mark.parametrize("n,d,k,iters,seed", [(100, 10, 5, 50, 42), (50, 8, 4, 30, 0), (80, 6, 4, 30, 7)])
-def test_fit_matches_numpy_and_rows_are_stochastic(spark, n, d, k, iters, seed):
+def test_fit_is_monotone_and_rows_are_stochastic(spark, n, d, k, iters, seed):
     x, df = _data(spark, n, d, seed)
     model = fcm.fit(spark, df, k=k, m=2.0, max_iter=iters, tol=1e-4, seed=42)
-    v, u, n_iter, losses = _numpy_fit(x, k, 2.0, iters, 1e-4, 42)
-    assert model.n_iter == n_iter
-    assert np.allclose(model.centroids, v, atol=1e-8)
-    assert np.allclose(model.loss_history, losses, rtol=1e-8)
-    got = {r["doc_id"]: r for r in fcm.annotate(fcm.predict(spark, model, df, keep=["doc_id"])).collect()}
-    mem = np.array([got[i]["membership"] for i in range(n)])
-    assert np.allclose(mem.sum(1), 1.0, atol=1e-5)
-    assert (mem >= 0).all() and (mem <= 1).all()
-    assert np.allclose(mem, u, atol=1e-8)
-    assert [got[i]["label"] for i in range(n)] == list(np.argmax(mem, axis=1))
+    assert 1 <= model.n_iter <= iters and model.converged == (model.delta_history[-1] < 1e-4)
+    assert all(b <= a * (1 + 1e-12) for a, b in zip(model.loss_history, model.loss_history[1:]))
+    mem, labels = _memberships(spark, model, df, n)
+    assert np.allclose(mem.sum(1), 1.0, atol=1e-9) and (mem >= 0).all() and (mem <= 1).all()
+    assert labels == list(np.argmax(mem, axis=1))
+
+
+def test_converged_fit_is_a_stationary_point(spark):
+    """Each centroid is the mean of all rows weighted by squared memberships, which in turn follow from distance ratios."""
+    x, df = _data(spark, 60, 4, 5)
+    model = fcm.fit(spark, df, k=3, m=2.0, max_iter=150, tol=1e-7, seed=42)
+    assert model.converged
+    mem, _ = _memberships(spark, model, df, 60)
+    for c in range(3):
+        assert np.allclose(np.average(x, axis=0, weights=mem[:, c] ** 2), model.centroids[c], atol=1e-5)
+    near = [sum((x[7] - v) ** 2) for v in model.centroids]
+    assert np.allclose(mem[7], [1 / sum(a / b for b in near) for a in near], atol=1e-9)
+
+
+def test_memberships_by_hand(spark):
+    """Centroids 0 and 4 on a line: squared distances 1 and 9 from the point 1."""
+    df = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [0.0])], "doc_id long, embedding array<double>")
+    at = lambda m: _memberships(spark, fcm.FcmModel(np.array([[0.0], [4.0]]), m, n_iter=1), df, 3)[0]
+    assert np.allclose(at(2.0)[:2], [[0.9, 0.1], [0.5, 0.5]])
+    assert np.allclose(at(3.0)[0], [0.75, 0.25])
+    sharp = at(1.01)  # powers of 100: no overflow
+    assert np.isfinite(sharp).all() and sharp[0, 0] == 1.0 and sharp[2, 0] == 1.0
+
+
+def test_predict_before_fit(spark):
+    _, df = _data(spark, 3, 2, 1)
+    with pytest.raises(ValueError, match="not fitted"):
+        fcm.predict(spark, fcm.FcmModel(np.zeros((0, 2)), 2.0), df)
 
 
 def test_predict_unseen_rows_sum_to_one(spark):
