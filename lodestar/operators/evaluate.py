@@ -1,23 +1,27 @@
-"""Sampling, silhouette, Davies-Bouldin and parameter sweeps."""
+"""Sampling, silhouettes, Davies-Bouldin and parameter sweeps.
+
+Cluster means, spreads and the full-data silhouette come from per-batch
+partial sums (one row per label and batch, merged by a grouped sum); only one
+row per label reaches the driver.
+"""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.operators import fcm
-from lodestar.session import bounded_broadcast, ship_package
+from lodestar.session import ship_package
 
 # Fixed sizes of the reference's evaluation samples.
 SWEEP_SAMPLE = 5000
 FUZZ_SAMPLE = 3000
 SILHOUETTE_SAMPLE = 2000
-PLOT_SAMPLE = 4000
 HEATMAP_SAMPLE = 60
-MAX_SILHOUETTE_BROADCAST = 20_000
 
 
 def sample(df: DataFrame, n: int, seed: int = 42, key: str = "doc_id") -> DataFrame:
@@ -53,64 +57,174 @@ def _silhouette_fn(bc):
             means = sums / cnts[None, :]
             means[np.arange(len(li)), own] = np.inf
             b = means.min(axis=1)
-            s = np.where(n_own > 1, (b - a) / np.maximum(a, b), 0.0)
+            top = np.maximum(a, b)
+            s = np.where((n_own > 1) & (top > 0), (b - a) / np.where(top > 0, top, 1.0), 0.0)
             yield pd.DataFrame({"doc_id": di.astype(np.int64), "s": s})
     return run
 
 
-def silhouette(spark: SparkSession, labelled: DataFrame) -> DataFrame:
-    """mean Euclidean silhouette of ``labelled(doc_id, embedding,
-    label)``; a singleton cluster scores 0; fewer than two labels gives NULL
-    with a status.  The (bounded) rows are broadcast once and each task
-    scores its own rows against them -- no pair rows are produced."""
+def sampled_silhouette(spark: SparkSession, labelled: DataFrame, n: int, seed: int = 42) -> DataFrame:
+    """F2 on a sample: mean Euclidean silhouette of the ``n`` rows of
+    ``labelled(doc_id, embedding, label)`` that ``sample`` draws; the sample is
+    the operator, and bounds what is broadcast.  A singleton cluster scores 0,
+    so do coincident rows; fewer than two labels give NULL with a status."""
     ship_package(spark)
-    rows = bounded_broadcast(labelled, MAX_SILHOUETTE_BROADCAST)
-    if not rows[1]:
-        raise ValueError("silhouette input above the broadcast bound; sample it first (F1)")
-    data = labelled.select("doc_id", "embedding", "label").collect()
+    data = sample(labelled.select("doc_id", "embedding", "label"), n, seed).collect()
     n_labels = len({r["label"] for r in data})
     schema = "silhouette DOUBLE, n BIGINT, n_labels BIGINT, status STRING"
     if n_labels < 2:
         return spark.createDataFrame([(None, len(data), n_labels, "fewer than 2 labels")], schema)
     ids = np.array([r["doc_id"] for r in data], dtype=np.int64)
-    mat = np.array([np.asarray(r["embedding"], dtype=np.float64) for r in data])
+    mat = np.array([r["embedding"] for r in data], dtype=np.float64)
     lab = np.array([r["label"] for r in data])
     bc = spark.sparkContext.broadcast((ids, mat, lab))
-    s = labelled.select("doc_id", "embedding", "label").mapInPandas(_silhouette_fn(bc), "doc_id LONG, s DOUBLE")
+    rows = spark.createDataFrame([(r["doc_id"], list(r["embedding"]), r["label"]) for r in data], "doc_id long, embedding array<double>, label int")
+    s = rows.repartition(8).mapInPandas(_silhouette_fn(bc), "doc_id LONG, s DOUBLE")
     return s.agg(F.avg("s").alias("silhouette"), F.count(F.lit(1)).alias("n")).select(
         "silhouette", "n", F.lit(n_labels).cast("long").alias("n_labels"), F.lit("ok").alias("status"))
 
 
+_SUMS = "label int, dim int, s double"
+
+
+def _label_matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    flat = batch.column("embedding")
+    x = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
+    return batch.column("label").to_numpy().astype(np.int64), x
+
+
+def _long(labels: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    """One row per (label, column) of ``values``; columns are numbered from 0."""
+    k, d = values.shape
+    return pa.record_batch({"label": pa.array(np.repeat(labels, d), pa.int32()), "dim": pa.array(np.tile(np.arange(d), k), pa.int32()),
+                            "s": pa.array(values.ravel(), pa.float64())})
+
+
+def _sums(batches):
+    """Per label: count, sum of squared norms, vector sum."""
+    for b in batches:
+        if b.num_rows:
+            lab, x = _label_matrix(b)
+            ks, at = np.unique(lab, return_inverse=True)
+            out = np.zeros((len(ks), 2 + x.shape[1]))
+            np.add.at(out, at, np.c_[np.ones(len(x)), (x * x).sum(1), x])
+            yield _long(ks, out)
+
+
+def _scores(ks: np.ndarray, n: np.ndarray, mean: np.ndarray, psi: np.ndarray):
+    """Per label: sum of distances to the own mean, sum of squared silhouettes' scores."""
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            lab, x = _label_matrix(b)
+            own = np.searchsorted(ks, lab)
+            r = np.arange(len(x))
+            xx = (x * x).sum(1)
+            dot = x @ mean.T
+            spread = np.sqrt(np.maximum(xx - 2 * dot[r, own] + (mean[own] ** 2).sum(1), 0.0))
+            d = np.maximum(xx[:, None] - 2 * dot + psi[None, :], 0.0)  # mean squared distance to each cluster
+            d[d < 1e-12] = 0.0
+            a = d[r, own] * n[own] / np.maximum(n[own] - 1, 1)
+            d[r, own] = np.inf
+            low = d.min(axis=1)
+            top = np.maximum(a, low)
+            s = np.where((n[own] > 1) & (top > 0), (low - a) / np.where(top > 0, top, 1.0), 0.0)
+            out = np.zeros((len(ks), 2))
+            np.add.at(out, own, np.c_[spread, s])
+            yield _long(ks, out)
+    return run
+
+
+def _merged(parts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    rows = parts.groupBy("label", "dim").agg(F.sum("s").alias("s")).collect()  # one row per label and column
+    ks = np.array(sorted({r["label"] for r in rows}), dtype=np.int64)
+    out = np.zeros((len(ks), max([r["dim"] for r in rows] + [1]) + 1))
+    for r in rows:
+        out[np.searchsorted(ks, r["label"]), r["dim"]] = r["s"]
+    return ks, out
+
+
+def cluster_scores(spark: SparkSession, labelled: DataFrame) -> dict:
+    """F2/F3 over all rows of ``labelled(embedding, label)`` in two passes.
+
+    ``silhouette``: with squared Euclidean distances, whose mean to a cluster
+    follows from its count, mean and mean squared norm; ``davies_bouldin``:
+    coincident means count as infinitely far apart.  Both are None for fewer
+    than two labels; a singleton cluster and coincident rows score 0.
+    """
+    ship_package(spark)
+    rows = labelled.select("embedding", F.col("label").cast("int").alias("label"))
+    ks, sums = _merged(rows.mapInArrow(_sums, _SUMS))
+    n = sums[:, 0]
+    if len(ks) < 2:
+        return {"silhouette": None, "davies_bouldin": None, "n": int(n.sum()), "n_labels": len(ks)}
+    mean, psi = sums[:, 2:] / n[:, None], sums[:, 1] / n
+    _, scored = _merged(rows.mapInArrow(_scores(ks, n, mean, psi), _SUMS))
+    spread = scored[:, 0] / n
+    apart = np.sqrt(((mean[:, None, :] - mean[None, :, :]) ** 2).sum(-1))
+    apart[apart < 1e-12] = np.inf
+    worst = ((spread[:, None] + spread[None, :]) / apart).max(axis=1)
+    return {"silhouette": float(scored[:, 1].sum() / n.sum()), "davies_bouldin": float(worst.mean()), "n": int(n.sum()), "n_labels": len(ks)}
+
+
+def _status(v: dict) -> str:
+    return "ok" if v["n_labels"] > 1 else "fewer than 2 labels"
+
+
+def silhouette(spark: SparkSession, labelled: DataFrame) -> DataFrame:
+    """F2 over all rows, with squared Euclidean distances."""
+    v = cluster_scores(spark, labelled)
+    return spark.createDataFrame([(v["silhouette"], v["n"], v["n_labels"], _status(v))],
+                                 "silhouette DOUBLE, n BIGINT, n_labels BIGINT, status STRING")
+
+
 def davies_bouldin(spark: SparkSession, labelled: DataFrame) -> DataFrame:
-    """Davies-Bouldin index over hard labels.  Two aggregations (means;
-    mean distance to own mean); the K x K step runs on the K collected rows."""
-    long = labelled.select("label", F.posexplode("embedding").alias("dim", "x"))
-    means = long.groupBy("label", "dim").agg(F.avg("x").alias("m")).collect()
-    labels = sorted({r["label"] for r in means})
-    if len(labels) < 2:
-        return spark.createDataFrame([(None, len(labels), "fewer than 2 labels")],
-                                     "db_index DOUBLE, n_labels BIGINT, status STRING")
-    dim = max(r["dim"] for r in means) + 1
-    c = np.zeros((len(labels), dim))
-    pos = {k: i for i, k in enumerate(labels)}
-    for r in means:
-        c[pos[r["label"]], r["dim"]] = r["m"]
-    lits = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in c])
-    idx = F.array_position(F.array(*[F.lit(k) for k in labels]), F.col("label")) - 1
-    from lodestar.functions.vectors import sq_dist_raw
-    own = F.element_at(lits, (idx + 1).cast("int"))
-    spread = labelled.select("label", F.sqrt(sq_dist_raw("embedding", own)).alias("dist"))
-    s_rows = spread.groupBy("label").agg(F.avg("dist").alias("s")).collect()
-    s = np.zeros(len(labels))
-    for r in s_rows:
-        s[pos[r["label"]]] = r["s"]
-    m = np.sqrt(((c[:, None, :] - c[None, :, :]) ** 2).sum(-1))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        r = (s[:, None] + s[None, :]) / m
-    np.fill_diagonal(r, -np.inf)
-    r[~np.isfinite(r)] = -np.inf
-    db = float(r.max(axis=1).mean())
-    return spark.createDataFrame([(db, len(labels), "ok")], "db_index DOUBLE, n_labels BIGINT, status STRING")
+    """Davies-Bouldin index over hard labels, all rows."""
+    v = cluster_scores(spark, labelled)
+    return spark.createDataFrame([(v["davies_bouldin"], v["n_labels"], _status(v))], "db_index DOUBLE, n_labels BIGINT, status STRING")
+
+
+def exact_quantile(df: DataFrame, column: str, q: float, keep: int = 20_000) -> float | None:
+    """The ``q``-th quantile of all values (linear interpolation), null for none.
+
+    The range that holds the two neighbouring ranks is narrowed by counts in
+    1,024 equal steps until at most ``keep`` values (or one single value) are
+    left; only those are read.
+    """
+    v = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
+    lo, hi, n = v.agg(F.min("v"), F.max("v"), F.count(F.lit(1))).first()
+    if not n:
+        return None
+    rank = q * (n - 1)
+    first, second = int(rank), min(int(rank) + 1, n - 1)
+    below = 0
+    while n > keep and lo < hi:
+        width = (hi - lo) / 1024
+        if not width or lo + width == lo:
+            break
+        step = F.least(F.floor((F.col("v") - lo) / width), F.lit(1023))
+        inside = v.where((F.col("v") >= lo) & (F.col("v") <= hi))
+        rows = sorted(inside.groupBy(step.alias("b")).agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect(), key=lambda r: r["b"])
+        left, chosen = below, []
+        for r in rows:
+            if left <= second and left + r["c"] > first:
+                chosen.append((left, r))
+            left += r["c"]
+        new = (chosen[0][1]["lo"], chosen[-1][1]["hi"], sum(r["c"] for _, r in chosen))
+        below = chosen[0][0]
+        if new == (lo, hi, n):
+            break
+        lo, hi, n = new
+    left = below
+    values = {}
+    counts = v.where((F.col("v") >= lo) & (F.col("v") <= hi)).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    for r in sorted(counts.collect(), key=lambda r: r["v"]):
+        for k in (first, second):
+            if left <= k < left + r["c"]:
+                values[k] = r["v"]
+        left += r["c"]
+    return values[first] + (values[second] - values[first]) * (rank - first)
 
 
 def fuzziness_sweep(spark: SparkSession, vecs: DataFrame, m_values, k: int, max_iter: int, tol: float,
@@ -134,8 +248,8 @@ def fuzziness_sweep(spark: SparkSession, vecs: DataFrame, m_values, k: int, max_
 
 
 def k_sweep(spark: SparkSession, vecs: DataFrame, k_values, m: float, max_iter: int, tol: float,
-            seed: int = 42, silhouette_n: int = SILHOUETTE_SAMPLE) -> DataFrame:
-    """per K: silhouette (on a seeded sample), Davies-Bouldin, final loss;
+            seed: int = 42) -> DataFrame:
+    """per K: silhouette and Davies-Bouldin over all rows, final loss;
     ``candidate_rank`` ranks K by silhouette instead of hard-coding one."""
     from lodestar.functions.vectors import argmax
     vecs = vecs.select("doc_id", "embedding")
@@ -143,9 +257,8 @@ def k_sweep(spark: SparkSession, vecs: DataFrame, k_values, m: float, max_iter:
     for k in k_values:
         model = fcm.fit(spark, vecs, k=k, m=m, max_iter=max_iter, tol=tol, seed=seed, checkpoint=False)
         lab = fcm.predict(spark, model, vecs, keep=["doc_id", "embedding"]).withColumn("label", argmax("membership"))
-        sil = silhouette(spark, sample(lab, silhouette_n, seed)).first()
-        db = davies_bouldin(spark, lab).first()
-        rows.append((k, sil["silhouette"], db["db_index"], float(model.loss_history[-1]), model.n_iter))
+        v = cluster_scores(spark, lab)
+        rows.append((k, v["silhouette"], v["davies_bouldin"], float(model.loss_history[-1]), model.n_iter))
     df = spark.createDataFrame(rows, "k INT, silhouette DOUBLE, db_index DOUBLE, fcm_loss DOUBLE, n_iter INT")
     from pyspark.sql import Window
     return df.withColumn("candidate_rank", F.rank().over(Window.orderBy(F.col("silhouette").desc_nulls_last())))

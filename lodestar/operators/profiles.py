@@ -8,18 +8,22 @@ cluster holding a large share of the rows never ships them whole."""
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as tx
 from lodestar.functions.vectors import sq_dist_raw, top_memberships
 from lodestar.operators.encode import TOKEN_SPLIT
+from lodestar.operators.evaluate import exact_quantile
+from lodestar.session import ship_package
 
 TOP_CATEGORIES = 5
 REPRESENTATIVES = 5
 BOUNDARY_DOCS = 3
 BOUNDARY_PERCENTILE = 0.85
 TOP_TERMS = 10
+PROJECTION_STEPS = 24
 
 
 def sizes(mem: DataFrame) -> DataFrame:
@@ -111,13 +115,11 @@ def top_terms(mem: DataFrame, n: int = TOP_TERMS, k: int | None = None) -> DataF
             .where(F.col("rank") <= n).select("cluster", "rank", "term", "tf", "score"))
 
 
-def boundary_flags(mem_sample: DataFrame, q: float = BOUNDARY_PERCENTILE) -> DataFrame:
-    """Entropy above the q-th percentile (linear interpolation) of the
-    (bounded) sample.  The percentile is one aggregate row joined back as a
-    scalar column, not a join."""
-    p = mem_sample.agg(F.percentile("entropy", q).alias("p")).first()["p"]
-    return mem_sample.select("doc_id", "label", "entropy", (F.col("entropy") > F.lit(p)).alias("boundary"),
-                             F.lit(p).alias("threshold"))
+def boundary_flags(mem: DataFrame, q: float = BOUNDARY_PERCENTILE) -> DataFrame:
+    """Entropy above the q-th percentile (linear interpolation) of all rows."""
+    p = exact_quantile(mem, "entropy", q)
+    return mem.select("doc_id", "label", "entropy", (F.col("entropy") > F.lit(p)).alias("boundary"),
+                      F.lit(p).cast("double").alias("threshold"))
 
 
 def heatmap(mem_sample: DataFrame, k: int) -> DataFrame:
@@ -125,15 +127,50 @@ def heatmap(mem_sample: DataFrame, k: int) -> DataFrame:
     return mem_sample.select("doc_id", *[F.round(F.get("membership", i), 4).alias(f"C{i}") for i in range(k)])
 
 
-def projection_2d(spark: SparkSession, mem: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
-    """2-D projection (pyspark.ml PCA, signs fixed so each component's
-    largest loading is positive); new rows are placed with the same model."""
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    src = (fit_on if fit_on is not None else mem).select(array_to_vector("embedding").alias("v"))
-    model = PCA(k=2, inputCol="v", outputCol="p").fit(src)
-    pc = model.pc.toArray()
-    sign = np.sign(pc[np.abs(pc).argmax(axis=0), range(2)])
-    out = model.transform(mem.withColumn("v", array_to_vector("embedding")))
-    arr = vector_to_array("p")
-    return out.select("doc_id", "label", (arr[0] * float(sign[0])).alias("x"), (arr[1] * float(sign[1])).alias("y"))
+def _moments(batches):
+    """Count, vector sum and product sums of each batch, as one long row set."""
+    for b in batches:
+        if b.num_rows:
+            flat = b.column(0)
+            x = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
+            v = np.concatenate([[len(x)], x.sum(0), (x.T @ x).ravel()])
+            yield pa.record_batch({"i": pa.array(np.arange(len(v)), pa.int64()), "s": pa.array(v)})
+
+
+def principal_axes(spark: SparkSession, vectors: DataFrame, steps: int = PROJECTION_STEPS) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, two axes): a fixed number of power steps on the covariance from
+    fixed starts, the second axis kept at a right angle to the first.  The
+    covariance is summed on the executors; D x D numbers reach the driver."""
+    ship_package(spark)
+    rows = vectors.select("embedding").mapInArrow(_moments, "i long, s double").groupBy("i").agg(F.sum("s").alias("s")).collect()
+    v = np.zeros(len(rows))
+    for r in rows:
+        v[r["i"]] = r["s"]
+    d = int((np.sqrt(4 * len(v) - 3) - 1) / 2) if len(v) else 0
+    if not d:
+        return np.zeros(0), np.zeros((2, 0))
+    mean = v[1:d + 1] / v[0]
+    cov = v[d + 1:].reshape(d, d) / v[0] - np.outer(mean, mean)
+    axes = []
+    for start in (1.0 + np.arange(d) / d, 1.0 - 2 * (np.arange(d) % 2) + np.arange(d) / d):
+        w = start / np.sqrt(start @ start)
+        for _ in range(steps):
+            w = cov @ w
+            for a in axes:
+                w = w - (w @ a) * a
+            w = w / np.sqrt(w @ w) if w @ w > 0 else w
+        axes.append(w)
+    return mean, np.array(axes)
+
+
+def projection_2d(spark: SparkSession, mem: DataFrame, fit_on: DataFrame | None = None, steps: int = PROJECTION_STEPS) -> DataFrame:
+    """2-D projection on the leading axes; new rows are placed with the same axes."""
+    mean, axes = principal_axes(spark, fit_on if fit_on is not None else mem, steps)
+
+    def place(batches):
+        for b in batches:
+            flat = b.column("embedding")
+            x = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
+            xy = (x - mean) @ axes.T if len(x) else np.zeros((0, 2))
+            yield pa.record_batch({"doc_id": b.column("doc_id"), "label": b.column("label"), "x": pa.array(xy[:, 0]), "y": pa.array(xy[:, 1])})
+    return mem.select("doc_id", F.col("label").cast("int").alias("label"), "embedding").mapInArrow(place, "doc_id long, label int, x double, y double")

@@ -115,10 +115,34 @@ per AS (SELECT s.doc_id, s.label, c.n AS n_own,
 sil AS (SELECT avg(CASE WHEN n_own > 1 THEN (b - a) / greatest(a, b) ELSE 0 END) AS silhouette, count(*) AS n FROM per)"""
 
 
-@query("f2_silhouette", SIL_SQL + "\nSELECT round(silhouette, 6) AS silhouette, CAST(n AS BIGINT) AS n FROM sil")
-def f2_silhouette(spark, sf):
+@query("f2_silhouette_sampled", SIL_SQL + "\nSELECT round(silhouette, 6) AS silhouette, CAST(n AS BIGINT) AS n FROM sil")
+def f2_silhouette_sampled(spark, sf):
+    """The Euclidean silhouette of a sample of 2,000; the sample is the operator."""
     lab = _labelled(spark, sf).select("doc_id", "embedding", "label")
-    s = ev.silhouette(spark, ev.sample(lab, ev.SILHOUETTE_SAMPLE, 42))
+    s = ev.sampled_silhouette(spark, lab, ev.SILHOUETTE_SAMPLE, 42)
+    return s.select(F.round("silhouette", 6).alias("silhouette"), "n")
+
+
+def _full_sil(g=""):
+    """Silhouette over all rows with mean squared distances, from counts, means and mean squared norms ({g}nl, {g}cm, {g}lab)."""
+    return f"""{g}psi AS (SELECT l.label, sum(coalesce(xx.xx, 0)) / any_value(nl.n) AS p FROM {g}lab l LEFT JOIN xx USING (doc_id) JOIN {g}nl nl USING (label) GROUP BY l.label),
+{g}xca AS (SELECT h.doc_id, cm.label, sum(h.x * cm.c) AS xc FROM hv h JOIN {g}cm cm ON cm.dim = h.dim GROUP BY h.doc_id, cm.label),
+{g}sqd AS (SELECT l.doc_id, l.label AS own, p.label AS other, greatest(coalesce(xx.xx, 0) - 2 * coalesce(a.xc, 0) + p.p, 0) AS d
+  FROM {g}lab l CROSS JOIN {g}psi p LEFT JOIN xx ON xx.doc_id = l.doc_id LEFT JOIN {g}xca a ON a.doc_id = l.doc_id AND a.label = p.label),
+{g}per AS (SELECT d.doc_id, any_value(nl.n) AS n, max(CASE WHEN d.other = d.own THEN d.d * nl.n / greatest(nl.n - 1, 1) END) AS a,
+  min(CASE WHEN d.other <> d.own THEN d.d END) AS b FROM {g}sqd d JOIN {g}nl nl ON nl.label = d.own GROUP BY d.doc_id),
+{g}sil AS (SELECT CASE WHEN (SELECT count(*) FROM {g}nl) >= 2 THEN avg(CASE WHEN n > 1 AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END) END AS sil,
+  count(*) AS n FROM {g}per)"""
+
+
+MEANS = """nl AS (SELECT label, count(*) AS n FROM lab GROUP BY label),
+cm AS (SELECT l.label, h.dim, sum(h.x) / any_value(nl.n) AS c FROM hv h JOIN lab l USING (doc_id) JOIN nl USING (label) GROUP BY l.label, h.dim)"""
+
+
+@query("f2_silhouette", BASE + ",\n" + LAB + ",\n" + MEANS + ",\n" + _full_sil() + "\nSELECT round(sil, 6) AS silhouette, CAST(n AS BIGINT) AS n FROM sil")
+def f2_silhouette(spark, sf):
+    """All rows, squared Euclidean distances."""
+    s = ev.silhouette(spark, _labelled(spark, sf))
     return s.select(F.round("silhouette", 6).alias("silhouette"), "n")
 
 
@@ -147,25 +171,12 @@ K_GRID = list(range(2, 9))
 
 def _f4_sql():
     parts = ["WITH " + S.CORPUS, S.hashed_long("corpus", "doc_id", "text"),
-             "xx AS MATERIALIZED (SELECT doc_id, sum(x * x) AS xx FROM hv GROUP BY doc_id)",
-             "smp AS MATERIALIZED (SELECT doc_id FROM corpus ORDER BY md5('42|' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 2000)",
-             "dots AS MATERIALIZED (SELECT a.doc_id AS i, b.doc_id AS j, sum(a.x * b.x) AS xy FROM hv a JOIN hv b USING (dim) "
-             "WHERE a.doc_id IN (SELECT doc_id FROM smp) AND b.doc_id IN (SELECT doc_id FROM smp) GROUP BY a.doc_id, b.doc_id)",
-             "pd AS MATERIALIZED (SELECT a.doc_id AS i, b.doc_id AS j, sqrt(greatest(coalesce(xa.xx, 0) + coalesce(xb.xx, 0) "
-             "- 2 * coalesce(d.xy, 0), 0)) AS d FROM smp a JOIN smp b ON a.doc_id <> b.doc_id LEFT JOIN xx xa ON xa.doc_id = a.doc_id "
-             "LEFT JOIN xx xb ON xb.doc_id = b.doc_id LEFT JOIN dots d ON d.i = a.doc_id AND d.j = b.doc_id)"]
+             "xx AS MATERIALIZED (SELECT doc_id, sum(x * x) AS xx FROM hv GROUP BY doc_id)"]
     sel = []
     for k in K_GRID:
         g = f"k{k}_"
         parts.append(S.fcm_ctes(model.STEPS, k, M, model.SEED, tag=g))
         parts.append(f"""{g}lab AS MATERIALIZED (SELECT doc_id, k AS label FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY doc_id ORDER BY u DESC, k) AS r FROM {g}u{model.STEPS}) WHERE r = 1),
-{g}sl AS (SELECT l.* FROM {g}lab l JOIN smp USING (doc_id)),
-{g}cnt AS (SELECT label, count(*) AS n FROM {g}sl GROUP BY label),
-{g}md AS MATERIALIZED (SELECT p.i, l.label AS lj, sum(p.d) AS s FROM pd p JOIN {g}sl l ON l.doc_id = p.j GROUP BY p.i, l.label),
-{g}per AS (SELECT s.doc_id, c.n AS n_own, coalesce((SELECT m.s FROM {g}md m WHERE m.i = s.doc_id AND m.lj = s.label), 0) / greatest(c.n - 1, 1) AS a,
-  (SELECT min(m.s / c2.n) FROM {g}md m JOIN {g}cnt c2 ON c2.label = m.lj WHERE m.i = s.doc_id AND m.lj <> s.label) AS b
-  FROM {g}sl s JOIN {g}cnt c USING (label)),
-{g}sil AS (SELECT CASE WHEN (SELECT count(*) FROM {g}cnt) >= 2 THEN avg(CASE WHEN n_own > 1 THEN (b - a) / greatest(a, b) ELSE 0 END) END AS sil FROM {g}per),
 {g}nl AS (SELECT label, count(*) AS n FROM {g}lab GROUP BY label),
 {g}cm AS (SELECT l.label, h.dim, sum(h.x) / any_value(nl.n) AS c FROM hv h JOIN {g}lab l USING (doc_id) JOIN {g}nl nl USING (label) GROUP BY l.label, h.dim),
 {g}cc AS (SELECT label, sum(c * c) AS cc FROM {g}cm GROUP BY label),
@@ -175,7 +186,8 @@ def _f4_sql():
 {g}cd AS (SELECT a.label AS la, b.label AS lb, sum(a.c * b.c) AS ab FROM {g}cm a JOIN {g}cm b ON a.dim = b.dim AND a.label <> b.label GROUP BY a.label, b.label),
 {g}mm AS (SELECT a.label AS la, b.label AS lb, sqrt(greatest(a.cc + b.cc - 2 * coalesce(cd.ab, 0), 0)) AS m
   FROM {g}cc a JOIN {g}cc b ON a.label <> b.label LEFT JOIN {g}cd cd ON cd.la = a.label AND cd.lb = b.label),
-{g}r AS (SELECT mm.la, max((sa.s + sb.s) / mm.m) AS r FROM {g}mm mm JOIN {g}sp sa ON sa.label = mm.la JOIN {g}sp sb ON sb.label = mm.lb GROUP BY mm.la)""")
+{g}r AS (SELECT mm.la, max((sa.s + sb.s) / mm.m) AS r FROM {g}mm mm JOIN {g}sp sa ON sa.label = mm.la JOIN {g}sp sb ON sb.label = mm.lb GROUP BY mm.la),
+{_full_sil(g)}""")
         sel.append(f"SELECT {k} AS k, (SELECT sil FROM {g}sil) AS silhouette, (SELECT avg(r) FROM {g}r) AS db_index, "
                    f"(SELECT loss FROM {g}hist WHERE iter = {model.STEPS - 1}) AS fcm_loss, {model.STEPS} AS n_iter")
     return (",\n".join(parts) + ",\nsw AS (" + " UNION ALL ".join(sel) + ")\n"
@@ -310,13 +322,10 @@ def g7_top_terms(spark, sf):
         "cluster", F.col("rank").cast("int").alias("rank"), "term", "tf", "score")
 
 
-@query("g8_boundary_flag", G_BASE + """,
-smp AS (SELECT doc_id FROM corpus ORDER BY md5('42|' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 4000),
-se AS (SELECT m.doc_id, m.entropy FROM mem m JOIN smp USING (doc_id))
-SELECT doc_id, entropy > (SELECT quantile_cont(entropy, 0.85) FROM se) AS boundary FROM se""")
+@query("g8_boundary_flag", G_BASE + "\nSELECT doc_id, entropy > (SELECT quantile_cont(entropy, 0.85) FROM mem) AS boundary FROM mem")
 def g8_boundary_flag(spark, sf):
-    s = ev.sample(_mem(spark, sf), ev.PLOT_SAMPLE, 42)
-    return profiles.boundary_flags(s).select("doc_id", "boundary")
+    """The threshold and the flags cover all rows."""
+    return profiles.boundary_flags(_mem(spark, sf)).select("doc_id", "boundary")
 
 
 @query("g9_heatmap", BASE + f""",
@@ -328,11 +337,37 @@ def g9_heatmap(spark, sf):
     return profiles.heatmap(s, K)
 
 
-@query("g10_projection_2d")
+#: Fixed values of the projection, as the operator's defaults state them: dimensions and power steps.
+G10_DIM, G10_STEPS = 128, 24
+
+
+def _g10_sql():
+    unit = "w / sqrt(sum(w * w) OVER ())"
+    parts = [G_BASE, f"dims AS (SELECT unnest(range({G10_DIM}))::INTEGER AS dim)", "nn AS (SELECT count(*)::DOUBLE AS n FROM corpus)",
+             "mu AS MATERIALIZED (SELECT d.dim, coalesce(sum(h.x), 0) / any_value(nn.n) AS mu FROM dims d CROSS JOIN nn LEFT JOIN hv h ON h.dim = d.dim GROUP BY d.dim)",
+             "pp AS MATERIALIZED (SELECT a.dim AS d1, b.dim AS d2, sum(a.x * b.x) AS s FROM hv a JOIN hv b USING (doc_id) GROUP BY a.dim, b.dim)",
+             "cov AS MATERIALIZED (SELECT a.dim AS d1, b.dim AS d2, coalesce(pp.s, 0) / nn.n - a.mu * b.mu AS c FROM mu a CROSS JOIN mu b CROSS JOIN nn "
+             "LEFT JOIN pp ON pp.d1 = a.dim AND pp.d2 = b.dim)"]
+    for name, start, other in (("p", f"1.0 + dim / {G10_DIM}.0", None), ("q", f"1.0 - 2 * (dim % 2) + dim / {G10_DIM}.0", f"p{G10_STEPS}")):
+        parts.append(f"{name}0 AS MATERIALIZED (SELECT dim, {unit} AS w FROM (SELECT dim, {start} AS w FROM dims))")
+        for t in range(1, G10_STEPS + 1):
+            step = f"SELECT c.d1 AS dim, sum(c.c * v.w) AS w FROM cov c JOIN {name}{t - 1} v ON v.dim = c.d2 GROUP BY c.d1"
+            if other:
+                step = f"SELECT s.dim, s.w - o.w * sum(s.w * o.w) OVER () AS w FROM ({step}) s JOIN {other} o USING (dim)"
+            parts.append(f"{name}{t} AS MATERIALIZED (SELECT dim, {unit} AS w FROM ({step}))")
+    place = lambda v: f"(SELECT h.doc_id, sum(h.x * v.w) AS s FROM hv h JOIN {v} v USING (dim) GROUP BY h.doc_id)"
+    off = lambda v: f"(SELECT sum(mu.mu * v.w) FROM mu JOIN {v} v USING (dim))"
+    p, q = f"p{G10_STEPS}", f"q{G10_STEPS}"
+    return ",\n".join(parts) + f"""
+SELECT m.doc_id, CAST(m.label AS INTEGER) AS label, round(coalesce(a.s, 0) - {off(p)}, 6) AS x, round(coalesce(b.s, 0) - {off(q)}, 6) AS y,
+  m.entropy > (SELECT quantile_cont(entropy, 0.85) FROM mem) AS boundary
+FROM mem m LEFT JOIN {place(p)} a USING (doc_id) LEFT JOIN {place(q)} b USING (doc_id)"""
+
+
+@query("g10_projection_2d", _g10_sql())
 def g10_projection_2d(spark, sf):
+    """Every row's place on the two leading axes, and its boundary flag."""
     mem = _mem(spark, sf)
-    p = profiles.projection_2d(spark, mem)
-    s = ev.sample(mem.select("doc_id", "label", "entropy"), ev.PLOT_SAMPLE, 42)
-    flags = profiles.boundary_flags(s).select("doc_id", "boundary")
-    return p.join(flags, "doc_id", "left").select("doc_id", "label", F.round("x", 6).alias("x"),
-                                                  F.round("y", 6).alias("y"), "boundary")
+    flags = profiles.boundary_flags(mem).select("doc_id", "boundary")
+    return (profiles.projection_2d(spark, mem, steps=G10_STEPS).join(flags, "doc_id")
+            .select("doc_id", "label", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "boundary"))
