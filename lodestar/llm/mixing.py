@@ -27,7 +27,9 @@ from lodestar.llm.shared import written
 from lodestar.llm.wordhash import slices, split_words
 
 #: Words of a shard, about; the shard is the unit whose documents are put in order.
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 200_000
+#: Shards of a source, at most; a source beyond that has larger shards (their quotas meet in one task).
+MAX_SHARDS = 65_536
 #: Largest block of words.
 BLOCK_WORDS = 64
 #: A source has at least this many blocks, so that rounding stays below a percent of it.
@@ -133,7 +135,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     source_quota = (shared.select(F.lit(0).alias("group"), "at", F.col("target").alias("votes"), "seats", "cap")
                     .groupBy("group").applyInArrow(_apportion, fields))
     plan = (shared.join(source_quota.select("at", "quota"), "at")
-            .withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("int"))
+            .withColumn("shards", F.least(F.lit(MAX_SHARDS), F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words))).cast("int"))
             .select(F.col("source").alias("of"), "at", "source_size", "target", "block", "quota", "shards"))
 
     placed = (sized.join(plan, F.col("source").eqNullSafe(F.col("of")))
