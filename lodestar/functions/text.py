@@ -109,12 +109,12 @@ def drop_url_lines(col) -> Column:
     return F.regexp_replace(_c(col), URL_ONLY_LINE, "")
 
 
-def strip_and_truncate(col, max_chars: int = MAX_CHARS) -> Column:
-    """Strip, then keep the first ``max_chars`` code points."""
-    return F.substring(strip_ws(col), 1, max_chars)
+def strip_and_truncate(col, max_chars: int | None = MAX_CHARS) -> Column:
+    """Strip, then keep the first ``max_chars`` code points (None: all)."""
+    return strip_ws(col) if max_chars is None else F.substring(strip_ws(col), 1, max_chars)
 
 
-def clean_text(col, max_chars: int = MAX_CHARS) -> Column:
+def clean_text(col, max_chars: int | None = MAX_CHARS) -> Column:
     """B4 -> B5/B6 -> B7 -> B8 -> B9 as one expression tree."""
     t = normalise_newlines(col)
     t = drop_quoted_and_attribution(t)

@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as tx
-from lodestar.sources.tables import MAX_CATEGORIES, categories, decode_labels
-from lodestar.session import bounded_broadcast
+from lodestar.sources.tables import decode_labels
 
 
 def clean_and_validate(raw: DataFrame, text_col: str = "text") -> DataFrame:
@@ -17,27 +16,25 @@ def clean_and_validate(raw: DataFrame, text_col: str = "text") -> DataFrame:
             .withColumn("valid", tx.is_valid(F.col("clean"))))
 
 
-def cleaned(raw: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
+def cleaned(raw: DataFrame, keys: list[str], text_col: str = "text", max_chars: int | None = tx.MAX_CHARS) -> DataFrame:
     """``keys`` + ``clean``.  The clean text comes out of a one-element
     ``explode``: the optimizer does not push predicates on generated columns
     below the generator, so a later validity filter cannot re-evaluate the
     whole cleaning chain inside the filter (it runs once per row)."""
-    return raw.select(*keys, F.explode(F.array(tx.clean_text(F.col(text_col)))).alias("clean"))
+    return raw.select(*keys, F.explode(F.array(tx.clean_text(F.col(text_col), max_chars))).alias("clean"))
 
 
-def prepare_corpus(raw: DataFrame, cats: DataFrame) -> DataFrame:
+def prepare_corpus(raw: DataFrame, cats: DataFrame, max_chars: int | None = tx.MAX_CHARS) -> DataFrame:
     """Clean -> keep valid -> content id -> category name.
 
-    ``raw`` is ``(doc_id, text, label, ...)``; output is
-    ``(doc_id, content_id, text, label, category)``.
+    ``raw`` is ``(doc_id, text, label, ...)``; output is ``(doc_id,
+    content_id, text, label, category)``.  ``max_chars`` cuts the cleaned text
+    (an encoder's window); None keeps it whole.
     """
-    keys = ["doc_id", "label"] + (["category"] if "category" in raw.columns else [])
-    kept = (cleaned(raw, keys).where(tx.is_valid(F.col("clean")))
-            .select(*keys, F.col("clean").alias("text"))
+    kept = (cleaned(raw, ["doc_id", "label"], max_chars=max_chars).where(tx.is_valid(F.col("clean")))
+            .select("doc_id", "label", F.col("clean").alias("text"))
             .withColumn("content_id", tx.content_id(F.col("text"))))
-    if "category" not in raw.columns:
-        kept = decode_labels(kept, cats)
-    return kept.select("doc_id", "content_id", "text", "label", "category")
+    return decode_labels(kept, cats).select("doc_id", "content_id", "text", "label", "category")
 
 
 def retention_report(raw: DataFrame, by: str | None = None) -> DataFrame:

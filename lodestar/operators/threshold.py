@@ -12,16 +12,16 @@ THRESHOLDS = [0.60, 0.65, 0.70, 0.75, 0.80, 0.85, 0.90, 0.95]
 
 
 def distinct_queries(pairs: DataFrame) -> DataFrame:
-    """The distinct query texts of both pair columns."""
-    return pairs.select(F.col("qa").alias("query")).union(pairs.select(F.col("qb").alias("query"))).distinct()
+    """The distinct query keys (content ids) of both pair columns."""
+    return pairs.select(F.col("ka").alias("key")).union(pairs.select(F.col("kb").alias("key"))).distinct()
 
 
 def pair_similarity(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Similarity of each pair through two key lookups on ``vectors(query,
-    embedding)`` (unit vectors, so cosine = dot)."""
-    va = vectors.select(F.col("query").alias("qa"), F.col("embedding").alias("ea"))
-    vb = vectors.select(F.col("query").alias("qb"), F.col("embedding").alias("eb"))
-    return pairs.join(va, "qa").join(vb, "qb").withColumn("sim", dot("ea", "eb")).drop("ea", "eb")
+    """Similarity of each pair ``(ka, kb, ...)`` through two lookups by
+    content id on ``vectors(key, embedding)`` (unit vectors, so cosine = dot)."""
+    va = vectors.select(F.col("key").alias("ka"), F.col("embedding").alias("ea"))
+    vb = vectors.select(F.col("key").alias("kb"), F.col("embedding").alias("eb"))
+    return pairs.join(va, "ka").join(vb, "kb").withColumn("sim", dot("ea", "eb")).drop("ea", "eb")
 
 
 def confusion(sims: DataFrame, thresholds: list[float] = THRESHOLDS) -> DataFrame:
@@ -49,8 +49,7 @@ def metrics(conf: DataFrame) -> DataFrame:
                        F.round(f1, 3).alias("f1"), F.round(fpr, 3).alias("false_positive_rate"))
 
 
-def sweep(pairs: DataFrame, encode, thresholds: list[float] = THRESHOLDS) -> DataFrame:
-    """Distinct queries -> vectors -> pair similarities -> metrics per θ.
-    ``encode``: DataFrame(query) -> DataFrame(query, embedding)."""
-    vecs = encode(distinct_queries(pairs))
-    return metrics(confusion(pair_similarity(pairs, vecs), thresholds))
+def sweep(pairs: DataFrame, vectors: DataFrame, thresholds: list[float] = THRESHOLDS) -> DataFrame:
+    """Pair similarities -> confusion -> metrics per threshold; every
+    distinct query was encoded once, in ``vectors(key, embedding)``."""
+    return metrics(confusion(pair_similarity(pairs, vectors), thresholds))

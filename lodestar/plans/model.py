@@ -34,4 +34,4 @@ def corpus_memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
         v = common.corpus_vectors(spark, sf_dir)
         return fcm.annotate(fcm.predict(spark, model, v, keep=[c for c in v.columns])
                             .withColumnRenamed("label", "category_label"))
-    return common.materialized(spark, ("memberships", sf_dir), build)
+    return common.materialized(spark, ("memberships", sf_dir), build, partition_by="label")

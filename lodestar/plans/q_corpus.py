@@ -11,10 +11,11 @@ from lodestar.operators.encode import encode_incremental, encode_queries, hashed
 from lodestar.plans import common
 from lodestar.plans import sqlfrag as S
 from lodestar.plans.registry import query
-from lodestar.session import bounded_broadcast
+from lodestar.session import bounded_broadcast, scratch_path
 from lodestar.sources import tables as tb
 
 R6 = 6
+MAX_CENTROIDS = 10_000  # category centroids that may be broadcast
 
 
 # ---------------------------------------------------------------- A: sources
@@ -22,26 +23,70 @@ R6 = 6
 @query("a1_scan_corpus", "WITH " + S.CATS + """
 SELECT d.doc_id, c.label, CASE WHEN ('0x' || substring(md5('split|' || CAST(d.doc_id AS VARCHAR)), 1, 8))::BIGINT % 5 = 0
        THEN 'test' ELSE 'train' END AS split, length(d.text) AS text_chars
-FROM documents d JOIN cats c ON d.source = c.category""")
+FROM documents d LEFT JOIN cats c ON d.source = c.category""")
 def a1_scan_corpus(spark, sf):
     return tb.scan_corpus(spark, sf).select("doc_id", "label", "split", F.length("text").alias("text_chars"))
 
 
 @query("a1_scan_test_split", "WITH " + S.CATS + """
-SELECT d.doc_id, c.label FROM documents d JOIN cats c ON d.source = c.category
+SELECT d.doc_id, c.label FROM documents d LEFT JOIN cats c ON d.source = c.category
 WHERE ('0x' || substring(md5('split|' || CAST(d.doc_id AS VARCHAR)), 1, 8))::BIGINT % 5 = 0""")
 def a1_scan_test_split(spark, sf):
     return tb.scan_corpus(spark, sf, subset="test").select("doc_id", "label")
 
 
 @query("a2_decode_labels", "WITH " + S.CATS + """
-SELECT d.doc_id, c.label, c.category FROM documents d JOIN cats c ON d.source = c.category""")
+SELECT e.vec_id, e.label, c.category FROM embeddings e LEFT JOIN cats c ON c.label = e.label""")
 def a2_decode_labels(spark, sf):
-    docs = tb.read_table(spark, sf, "documents")
-    cats = tb.categories(docs)
-    raw = tb.read_table(spark, sf, "documents").select("doc_id", F.col("source").alias("category"))
-    labelled = raw.join(cats, "category").select("doc_id", "label")
-    return tb.decode_labels(labelled, cats).select("doc_id", "label", "category")
+    """The integer labels of the embeddings, named by the documents' categories."""
+    cats = tb.categories(tb.read_table(spark, sf, "documents"))
+    return tb.decode_labels(tb.read_table(spark, sf, "embeddings").select("vec_id", "label"), cats).select("vec_id", "label", "category")
+
+
+#: Clean corpus with its float vectors, reloaded from written tables.
+RELOAD_SQL = "WITH " + S.CORPUS + ",\n" + S.hashed_long("corpus", "doc_id", "text") + """,
+nz AS (SELECT doc_id, count(*) AS nnz, round(sum(CAST(x AS FLOAT)), 4) AS xsum FROM hv GROUP BY doc_id)
+"""
+
+
+def _reloaded(spark, sf, name, df, partition_by=None):
+    path = scratch_path(spark, name)
+    tb.write_table(df, path, partition_by)
+    return tb.load_table(spark, path)
+
+
+@query("a3_persist_corpus", "WITH " + S.CORPUS + "\nSELECT doc_id, content_id, label, category, length(text) AS text_chars FROM corpus")
+def a3_persist_corpus(spark, sf):
+    c = _reloaded(spark, sf, "a3", common.corpus(spark, sf))
+    return c.select("doc_id", "content_id", "label", "category", F.length("text").alias("text_chars"))
+
+
+@query("a4_float_vectors", RELOAD_SQL + "SELECT doc_id, CAST(nnz AS BIGINT) AS nnz, xsum FROM nz")
+def a4_float_vectors(spark, sf):
+    """Vectors written and reloaded as ARRAY<FLOAT>."""
+    v = common.corpus_vectors(spark, sf).select("doc_id", F.col("embedding").cast("array<float>").alias("embedding"))
+    v = _reloaded(spark, sf, "a4", v)
+    return v.select("doc_id", F.size(F.filter("embedding", lambda x: x != 0)).cast("long").alias("nnz"),
+                    F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 4).alias("xsum"))
+
+
+@query("a6_load_or_missing", "WITH " + S.CORPUS + """
+SELECT 'corpus' AS name, true AS found, CAST(count(*) AS BIGINT) AS n FROM corpus UNION ALL SELECT 'missing', false, 0""")
+def a6_load_or_missing(spark, sf):
+    """A written table with its length, and one that was never written."""
+    path = scratch_path(spark, "a6")
+    tb.write_table(common.corpus(spark, sf).select("doc_id"), path)
+    some, none = tb.load_table(spark, path), tb.load_table(spark, path + "-missing")
+    found = some.agg(F.lit("corpus").alias("name"), F.lit(True).alias("found"), F.count(F.lit(1)).alias("n"))
+    return found.unionByName(spark.createDataFrame([("missing", none is not None, 0)], "name string, found boolean, n long"))
+
+
+@query("a8_analysis_tables", "WITH " + S.CORPUS + "\nSELECT category, CAST(count(*) AS BIGINT) AS n_docs FROM corpus GROUP BY category")
+def a8_analysis_tables(spark, sf):
+    """An analysis table through its JSON sink."""
+    path = scratch_path(spark, "a8")
+    tb.write_json(common.corpus(spark, sf).groupBy("category").agg(F.count(F.lit(1)).alias("n_docs")), path)
+    return spark.read.schema("category string, n_docs long").json(path)
 
 
 @query("a5_vector_table", "WITH " + S.CORPUS + ",\n" + S.hashed_long("corpus", "doc_id", "text") + """
@@ -206,11 +251,11 @@ def b16_dedup(spark, sf):
     return cp.dedup(common.corpus(spark, sf)).select("content_id", "doc_id", "label")
 
 
-@query("b17_prepare_corpus", "WITH " + S.CORPUS + """
+@query("b17_prepare_corpus", "WITH " + S.CORPUS_CUT + """
 SELECT doc_id, content_id, label, category, length(text) AS text_chars FROM corpus""")
 def b17_prepare_corpus(spark, sf):
-    return common.corpus(spark, sf).select("doc_id", "content_id", "label", "category",
-                                           F.length("text").alias("text_chars"))
+    return common.prepared(spark, sf, tx.MAX_CHARS).select("doc_id", "content_id", "label", "category",
+                                                           F.length("text").alias("text_chars"))
 
 
 @query("b18_snippets", "WITH " + S.CORPUS + """
@@ -269,7 +314,7 @@ FROM corpus c LEFT JOIN dv USING (doc_id) LEFT JOIN cu ON cu.category = c.catego
 GROUP BY c.doc_id, c.category""")
 def c3_cosine_to_category(spark, sf):
     v = common.corpus_vectors(spark, sf).select("doc_id", "category", "embedding")
-    j = v.join(_category_centroids(v), "category")
+    j = v.join(bounded_broadcast(_category_centroids(v), MAX_CENTROIDS)[0], "category")
     return j.select("doc_id", "category", F.round(dot("embedding", "centroid"), R6).alias("cosine"))
 
 

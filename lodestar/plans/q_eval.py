@@ -5,10 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.functions import text as tx
 from lodestar.operators import evaluate as ev
 from lodestar.operators import fcm, profiles, threshold
-from lodestar.operators.encode import hashed_vector
 from lodestar.plans import common, model
 from lodestar.plans import sqlfrag as S
 from lodestar.plans.q_model import BASE, ST
@@ -22,17 +20,18 @@ K, M = model.K, model.M
 
 def eval_pairs(spark, sf):
     """Evaluation pairs derived from the corpus: each document paired with
-    the next doc_id; expected = same language."""
-    c = common.corpus(spark, sf).select("doc_id", "text")
+    the next doc_id, by content id; expected = same language."""
     lang = tb.read_table(spark, sf, "documents").select("doc_id", "lang")
-    a = c.join(lang, "doc_id").select(F.col("doc_id").alias("doc_a"), F.col("text").alias("qa"), F.col("lang").alias("la"))
-    b = c.join(lang, "doc_id").select(F.col("doc_id").alias("doc_b"), F.col("text").alias("qb"), F.col("lang").alias("lb"))
-    return a.join(b, F.col("doc_b") == F.col("doc_a") + 1).select(
-        "doc_a", "qa", "qb", (F.col("la") == F.col("lb")).alias("expected"))
+    c = common.corpus(spark, sf).select("doc_id", "content_id").join(lang, "doc_id")
+    b = c.select((F.col("doc_id") - 1).alias("doc_a"), F.col("content_id").alias("kb"), F.col("lang").alias("lb"))
+    return (c.select(F.col("doc_id").alias("doc_a"), F.col("content_id").alias("ka"), F.col("lang").alias("la")).join(b, "doc_a")
+            .select("doc_a", "ka", "kb", (F.col("la") == F.col("lb")).alias("expected")))
 
 
-def _encode(df):
-    return df.select("query", hashed_vector(F.col("query")).alias("embedding"))
+def query_vectors(spark, sf):
+    """One vector per distinct text, from the written vector table."""
+    return (common.corpus_vectors(spark, sf).groupBy(F.col("content_id").alias("key"))
+            .agg(F.any_value("embedding").alias("embedding")))
 
 
 PAIRS_SQL = "WITH " + S.CORPUS + """,
@@ -57,31 +56,31 @@ res AS (SELECT theta, round(r, 3) AS hit_rate, round(p, 3) AS precision,
 
 @query("i1_distinct_queries", PAIRS_SQL + "\nSELECT substring(sha256(q), 1, 16) AS qkey FROM dq")
 def i1_distinct_queries(spark, sf):
-    return threshold.distinct_queries(eval_pairs(spark, sf)).select(tx.content_id("query").alias("qkey"))
+    return threshold.distinct_queries(eval_pairs(spark, sf)).select(F.col("key").alias("qkey"))
+
+
+def _sims(spark, sf):
+    return threshold.pair_similarity(eval_pairs(spark, sf), query_vectors(spark, sf))
 
 
 @query("i2_pair_similarity", PAIRS_SQL + "\nSELECT doc_a, round(sim, 6) AS sim, expected FROM sims")
 def i2_pair_similarity(spark, sf):
-    p = eval_pairs(spark, sf)
-    s = threshold.pair_similarity(p, _encode(threshold.distinct_queries(p)))
-    return s.select("doc_a", F.round("sim", 6).alias("sim"), "expected")
+    return _sims(spark, sf).select("doc_a", F.round("sim", 6).alias("sim"), "expected")
 
 
 @query("i3_confusion", PAIRS_SQL + "\nSELECT theta, tp, fp, fn, tn FROM conf")
 def i3_confusion(spark, sf):
-    p = eval_pairs(spark, sf)
-    return threshold.confusion(threshold.pair_similarity(p, _encode(threshold.distinct_queries(p))))
+    return threshold.confusion(_sims(spark, sf))
 
 
 @query("i4_metrics", PAIRS_SQL + "\nSELECT * FROM res")
 def i4_metrics(spark, sf):
-    p = eval_pairs(spark, sf)
-    return threshold.metrics(threshold.confusion(threshold.pair_similarity(p, _encode(threshold.distinct_queries(p)))))
+    return threshold.metrics(threshold.confusion(_sims(spark, sf)))
 
 
 @query("i5_threshold_sweep", PAIRS_SQL + "\nSELECT * FROM res")
 def i5_threshold_sweep(spark, sf):
-    return threshold.sweep(eval_pairs(spark, sf), _encode)
+    return threshold.sweep(eval_pairs(spark, sf), query_vectors(spark, sf))
 
 
 # ---------------------------------------------------------------- F: evaluation

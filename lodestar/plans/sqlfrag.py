@@ -4,11 +4,15 @@ Column expressions in ``lodestar.functions`` in plain SQL."""
 
 from __future__ import annotations
 
-from lodestar.functions.text import ATTRIBUTION_LINE, MAX_CHARS, NEWSGROUP_QUOTE, NON_WS, WS, WS_CHARS
-
+# Fixed values, stated here once more so that a wrong one in the engine shows.
+SPACE_POINTS = [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+WS = "[" + "".join(f"\\x{{{c:x}}}" for c in SPACE_POINTS) + "]"
+NON_WS = "[^" + WS[1:]
+MAX_CHARS = 1500
+NEWSGROUP_QUOTE = "(writes in|writes:|wrote:|says:|said:|^In article|^Quoted from|^\\||^>)"
 NL = "chr(10)"
-WSC = "(" + "||".join(f"chr({ord(c)})" for c in WS_CHARS) + ")"
-ATTR_RE2 = ATTRIBUTION_LINE.replace("(?iud)", "(?i)")
+WSC = "(" + "||".join(f"chr({c})" for c in SPACE_POINTS) + ")"
+ATTR_RE2 = r"(?i)\A.{0,60} writes?:\z"
 URL_RE2 = r"(?m)^" + WS + r"*https?://" + NON_WS + r"+" + WS + r"*$"
 
 
@@ -42,17 +46,17 @@ def drop_urls(x: str) -> str:
     return f"regexp_replace({x}, '{URL_RE2}', '', 'g')"
 
 
-def strip_truncate(x: str, n: int = MAX_CHARS) -> str:
-    return f"substring({strip(x)}, 1, {n})"
+def strip_truncate(x: str, n: int | None = MAX_CHARS) -> str:
+    return strip(x) if n is None else f"substring({strip(x)}, 1, {n})"
 
 
-def clean_ctes(src: str, keys: str, text: str = "text", out: str = "clean") -> str:
+def clean_ctes(src: str, keys: str, text: str = "text", out: str = "clean", n: int | None = MAX_CHARS) -> str:
     """CTE chain ``s1..s5`` over ``src``; the last one exposes ``keys, out``."""
     return (f"s1 AS (SELECT {keys}, {norm_newlines(text)} AS t FROM {src}),\n"
             f"s2 AS (SELECT {keys}, {drop_quoted_and_attribution('t')} AS t FROM s1),\n"
             f"s3 AS (SELECT {keys}, {collapse('t')} AS t FROM s2),\n"
             f"s4 AS (SELECT {keys}, {drop_urls('t')} AS t FROM s3),\n"
-            f"s5 AS (SELECT {keys}, {strip_truncate('t')} AS {out} FROM s4)")
+            f"s5 AS (SELECT {keys}, {strip_truncate('t', n)} AS {out} FROM s4)")
 
 
 def tokens(x: str) -> str:
@@ -91,13 +95,20 @@ def strip_footer(x: str) -> str:
 
 
 CATS = ("cats AS (SELECT source AS category, CAST(row_number() OVER (ORDER BY source) - 1 AS INTEGER) AS label "
-        "FROM (SELECT DISTINCT source FROM documents))")
+        "FROM (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL))")
+
+
+def corpus(n: int | None) -> str:
+    """The clean corpus, its texts cut after ``n`` characters (None: whole)."""
+    return (CATS + ",\n"
+            "raw AS (SELECT d.doc_id, d.text, c.label FROM documents d LEFT JOIN cats c ON d.source = c.category),\n"
+            + clean_ctes("raw", "doc_id, label", n=n) + ",\n"
+            "corpus AS (SELECT s5.doc_id, " + content_id("s5.clean") + " AS content_id, s5.clean AS text, s5.label, "
+            "cats.category FROM s5 LEFT JOIN cats USING (label) WHERE " + is_valid("s5.clean") + ")")
+
 
-CORPUS = (CATS + ",\n"
-          "raw AS (SELECT d.doc_id, d.text, c.label FROM documents d JOIN cats c ON d.source = c.category),\n"
-          + clean_ctes("raw", "doc_id, label") + ",\n"
-          "corpus AS (SELECT s5.doc_id, " + content_id("s5.clean") + " AS content_id, s5.clean AS text, s5.label, "
-          "cats.category FROM s5 JOIN cats USING (label) WHERE " + is_valid("s5.clean") + ")")
+CORPUS = corpus(None)
+CORPUS_CUT = corpus(MAX_CHARS)
 
 
 def hashed_long(src: str, key: str, text: str, dim: int = 128, name: str = "hv") -> str:

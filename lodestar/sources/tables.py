@@ -60,25 +60,12 @@ SCHEMAS = {"documents": DOCUMENTS, "embeddings": EMBEDDINGS, "labels": LABELS,
 MAX_CATEGORIES = 100_000
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over all cores when it has fewer splits than the
-    cluster has task slots (a small file with one row group).  Large inputs
-    already have many splits and are returned unchanged, without a shuffle."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one parquet table with its declared schema."""
     reader = spark.read
     if name in SCHEMAS:
         reader = reader.schema(SCHEMAS[name])
-    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread_small and name in ("documents", "pages", "conversations"):
-        df = spread(df)
-    return df
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def split_of(doc_id) -> F.Column:
@@ -89,27 +76,26 @@ def split_of(doc_id) -> F.Column:
 
 def categories(documents: DataFrame, category_col: str = "source") -> DataFrame:
     """Category dimension ``(label INT, category STRING)``: distinct category
-    names numbered in name order.  Partial aggregation keeps the distinct
-    small before its shuffle; the numbering window runs over that bounded
-    distinct set only."""
+    names numbered in name order (null names nothing).  Partial aggregation
+    keeps the distinct small before its shuffle; the numbering window runs
+    over that distinct set only.  The dimension is written once, as its size
+    is checked before every join."""
     w = Window.orderBy("category")
-    return (documents.select(F.col(category_col).alias("category")).distinct()
+    return (documents.select(F.col(category_col).alias("category")).where("category IS NOT NULL").distinct()
             .withColumn("label", (F.row_number().over(w) - 1).cast("int"))
-            .select("label", "category"))
+            .select("label", "category").checkpoint())
 
 
 def scan_corpus(spark: SparkSession, sf_dir: str, subset: str = "all",
-                category_col: str = "source") -> DataFrame:
+                category_col: str = "source", cats: DataFrame | None = None) -> DataFrame:
     """A1: raw labelled corpus ``(doc_id, text, label, category, split)``;
-    ``subset`` is one of all/train/test and becomes a plain filter.
-
-    The category dimension is the output of an aggregation, so adaptive
-    execution sees its exact size before planning the join and broadcasts
-    it only under ``spark.sql.adaptive.autoBroadcastJoinThreshold``."""
+    ``subset`` is one of all/train/test and becomes a plain filter.  Texts are
+    not moved: the dimension is broadcast if its counted rows are within the
+    bound.  Rows without a category stay, with a null label."""
     docs = read_table(spark, sf_dir, "documents")
-    cats = categories(docs, category_col)
+    cats = categories(docs, category_col) if cats is None else cats
     raw = (docs.select("doc_id", "text", F.col(category_col).alias("category"))
-           .join(cats, "category")
+           .join(bounded_broadcast(cats, MAX_CATEGORIES)[0], "category", "left")
            .select("doc_id", "text", "label", "category", split_of(F.col("doc_id")).alias("split")))
     if subset != "all":
         raw = raw.where(F.col("split") == subset)
@@ -117,9 +103,8 @@ def scan_corpus(spark: SparkSession, sf_dir: str, subset: str = "all",
 
 
 def decode_labels(df: DataFrame, cats: DataFrame) -> DataFrame:
-    """A2: label -> category name (adaptive execution broadcasts the
-    dimension once its measured size is below the broadcast threshold)."""
-    return df.join(cats, "label", "inner")
+    """A2: label -> category name; unknown labels keep a null name."""
+    return df.join(bounded_broadcast(cats, MAX_CATEGORIES)[0], "label", "left")
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> str:
