@@ -235,20 +235,44 @@ def centroids_from_labels(vecs: DataFrame, label_col: str) -> DataFrame:
     return arr.select((F.row_number().over(w) - 1).cast("int").alias("cluster"), "centroid")
 
 
-def sq_dists_long(vecs: DataFrame, cents: DataFrame, max_centroids: int = 4096) -> DataFrame:
-    """``(doc_id, cluster, d)`` squared distances floored at 1e-10, the
-    (size-checked) centroid table broadcast to the vector side."""
+MAX_CENTROIDS = 100_000  # rows of a centroid table that may be broadcast
+
+
+def sq_dists_long(vecs: DataFrame, cents: DataFrame) -> DataFrame:
+    """``(doc_id, cluster, d)`` squared distances floored at 1e-10.
+
+    A centroid table within the bound is packed into one row, which is
+    broadcast and unrolled per vector; beyond it vectors meet it in a join on
+    hash blocks, so that no task holds the whole table."""
     from lodestar.session import bounded_broadcast
-    cb, ok = bounded_broadcast(cents, max_centroids)
-    if not ok:
-        raise ValueError("centroid table larger than the broadcast bound")
-    rows = cb.collect()
-    arr = F.array(*[F.struct(F.lit(r["cluster"]).alias("cluster"),
-                             F.array(*[F.lit(float(x)) for x in r["centroid"]]).alias("c")) for r in rows])
-    e = vecs.select("doc_id", "embedding", F.explode(arr).alias("k"))
-    return e.select("doc_id", F.col("k.cluster").alias("cluster"), sq_dist("embedding", "k.c").alias("d"))
+    bounded, ok = bounded_broadcast(cents, MAX_CENTROIDS)
+    if ok:
+        packed = bounded.agg(F.collect_list(F.struct("cluster", F.col("centroid").alias("c"))).alias("ks")).withColumn("one", F.lit(1))
+        pairs = vecs.select("doc_id", "embedding", F.lit(1).alias("one")).join(F.broadcast(packed), "one").select(
+            "doc_id", "embedding", F.explode("ks").alias("k"))
+        return pairs.select("doc_id", F.col("k.cluster").alias("cluster"), sq_dist("embedding", "k.c").alias("d"))
+    blocks = -(-cents.count() // MAX_CENTROIDS)
+    split = cents.withColumn("b", F.pmod(F.xxhash64("cluster"), F.lit(blocks)))
+    every = vecs.select("doc_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("b"))
+    return every.join(split, "b").select("doc_id", "cluster", sq_dist("embedding", "centroid").alias("d"))
+
+
+def save_model(spark: SparkSession, model: FcmModel, path: str) -> None:
+    """Centroids with the fit's parameters and record, one row per cluster."""
+    (model.centroid_frame(spark).withColumn("m", F.lit(float(model.m))).withColumn("n_iter", F.lit(int(model.n_iter)))
+     .withColumn("converged", F.lit(bool(model.converged)))
+     .withColumn("loss", F.array(*[F.lit(float(x)) for x in model.loss_history]).cast("array<double>"))
+     .withColumn("delta", F.array(*[F.lit(float(x)) for x in model.delta_history]).cast("array<double>"))
+     .write.mode("overwrite").parquet(path))
+
+
+def load_model(spark: SparkSession, path: str) -> FcmModel:
+    rows = sorted(spark.read.parquet(path).collect(), key=lambda r: r["cluster"])  # K rows
+    first = rows[0]
+    return FcmModel(centroids=np.array([r["centroid"] for r in rows], dtype=np.float64), m=first["m"], n_iter=first["n_iter"],
+                    loss_history=list(first["loss"]), delta_history=list(first["delta"]), converged=first["converged"])
 
 
 def model_from_frame(cents: DataFrame, m: float) -> FcmModel:
     rows = sorted(cents.collect(), key=lambda r: r["cluster"])
-    return FcmModel(centroids=np.array([r["centroid"] for r in rows], dtype=np.float64), m=m)
+    return FcmModel(centroids=np.array([r["centroid"] for r in rows], dtype=np.float64), m=m, n_iter=1)

@@ -40,12 +40,13 @@ def top_categories(mem: DataFrame, n: int = TOP_CATEGORIES) -> DataFrame:
 
 def representatives(mem: DataFrame, centroids: np.ndarray, n: int = REPRESENTATIVES) -> DataFrame:
     """The n members nearest their cluster centroid (Euclidean), with a
-    300-character text."""
-    lits = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in centroids])
-    d = F.sqrt(sq_dist_raw("embedding", F.element_at(lits, F.col("label") + 1)))
+    300-character text.  The centroids (one row per cluster) are broadcast."""
+    spark = mem.sparkSession
+    cents = F.broadcast(spark.createDataFrame([(int(c), [float(v) for v in row]) for c, row in enumerate(centroids)], "label int, centroid array<double>"))
+    d = F.sqrt(sq_dist_raw("embedding", "centroid"))
     w = Window.partitionBy("cluster").orderBy(F.round("dist", 12), "doc_id")
-    return (mem.select(F.col("label").alias("cluster"), "doc_id", d.alias("dist"),
-                       tx.snippet("text", tx.SNIPPET_REPRESENTATIVE).alias("text"))
+    return (mem.select("label", "doc_id", "embedding", tx.snippet("text", tx.SNIPPET_REPRESENTATIVE).alias("text")).join(cents, "label")
+            .select(F.col("label").alias("cluster"), "doc_id", d.alias("dist"), "text")
             .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n))
 
 

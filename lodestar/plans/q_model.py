@@ -10,6 +10,7 @@ from lodestar.operators import fcm, search
 from lodestar.plans import common, model
 from lodestar.plans import sqlfrag as S
 from lodestar.plans.registry import query
+from lodestar.session import scratch_path
 from lodestar.sources import tables as tb
 
 K, M, ST, SEED = model.K, model.M, model.STEPS, model.SEED
@@ -135,15 +136,19 @@ def d1_topk(spark, sf):
     return h.select("query_id", "rank", "doc_id", F.round("similarity", 4).alias("similarity"))
 
 
-def _english(spark, sf, c):
-    d = tb.read_table(spark, sf, "documents").where(F.col("lang") == "en").select("doc_id")
-    return c.join(d, "doc_id", "left_semi")
+#: The filter of D2: some of the categories, as stored with the vectors.
+D2_CATEGORIES = ("src0", "src1", "src2", "src3", "src4")
 
 
-@query("d2_filtered_topk", SEARCH_BASE + ",\nen AS (SELECT a.* FROM allpairs a JOIN documents d USING (doc_id) WHERE d.lang = 'en')\n"
+def _some_categories(spark, sf, c):
+    return c.where(F.col("category").isin(*D2_CATEGORIES))
+
+
+@query("d2_filtered_topk", SEARCH_BASE + f",\nen AS (SELECT a.* FROM allpairs a JOIN corpus c USING (doc_id) WHERE c.category IN {D2_CATEGORIES})\n"
        + TOPK.replace("@SRC", "en").replace("@K", "5"))
 def d2_filtered_topk(spark, sf):
-    h, _ = _hits(spark, sf, corpus_filter=_english)
+    """The metadata filter reaches the scan of the vector table."""
+    h, _ = _hits(spark, sf, corpus_filter=_some_categories)
     return h.select("query_id", "rank", "doc_id", F.round("similarity", 4).alias("similarity"))
 
 
@@ -203,3 +208,24 @@ def d4_ivf_recall(spark, sf):
     q = tb.read_table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"))
     j = q.join(exact, "query_id", "left").join(approx, ["query_id", "doc_id"], "left")
     return j.groupBy("query_id").agg(F.round(F.count("found") / 5.0, 4).alias("recall_at_5"))
+
+
+@query("e6_fit_shipped")
+def e6_fit_shipped(spark, sf):
+    """The fit with its own defaults: K = 15, m = 2, stop at max|dU| < 1e-4, at
+    most 150 steps; one row per step (no SQL: the number of steps is not fixed)."""
+    vecs = common.corpus_vectors(spark, sf).select("doc_id", "embedding")
+    m = fcm.fit(spark, vecs, checkpoint=False)
+    return m.history_frame(spark).select("iter", F.round("loss", 6).alias("loss"), F.round("delta", 6).alias("delta"),
+                                         F.lit(m.converged).alias("converged"))
+
+
+@query("a7_model_round_trip", BASE + f"""
+SELECT doc_id, CAST(k AS INTEGER) AS label FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY doc_id ORDER BY u DESC, k) AS r FROM u{ST}) WHERE r = 1""")
+def a7_model_round_trip(spark, sf):
+    """Labels predicted by a model that was saved with its parameters and loaded again."""
+    path = scratch_path(spark, "a7")
+    fcm.save_model(spark, model.fitted(spark, sf), path)
+    loaded = fcm.load_model(spark, path)
+    vecs = common.corpus_vectors(spark, sf).select("doc_id", "embedding")
+    return fcm.annotate(fcm.predict(spark, loaded, vecs, keep=["doc_id"])).select("doc_id", F.col("label").cast("int").alias("label"))

@@ -43,6 +43,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not d and not sc.getCheckpointDir() and not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not d:
         d = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="lodestar-ckpt-")
         try:
