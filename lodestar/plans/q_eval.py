@@ -261,34 +261,48 @@ def _reps(spark, sf):
     return profiles.representatives(_mem(spark, sf), model.fitted(spark, sf).centroids)
 
 
-@query("g3_representatives", G_BASE + "\nSELECT cluster, CAST(rank AS INTEGER) AS rank, doc_id, round(dist, 6) AS dist FROM reps")
+KEY = "substring(sha256({}), 1, 16)"
+BND_TEXT = f"""bt AS (SELECT b.cluster, b.rank, b.doc_id, b.entropy, substring(m.text, 1, 250) AS text, t.tops FROM bnd b JOIN mem m USING (doc_id)
+  JOIN (SELECT doc_id, string_agg('cluster_' || CAST(k AS VARCHAR), ',' ORDER BY r) AS tops FROM (
+    SELECT doc_id, k, row_number() OVER (PARTITION BY doc_id ORDER BY u DESC, k DESC) AS r FROM u{ST}) WHERE r <= 4 GROUP BY doc_id) t USING (doc_id))"""
+
+
+def _key(c):
+    return F.substring(F.sha2(c, 256), 1, 16)
+
+
+def _clusters(distribution):
+    return F.array_join(F.map_keys(distribution), ",")
+
+
+@query("g3_representatives", G_BASE + f"""
+SELECT r.cluster, CAST(r.rank AS INTEGER) AS rank, r.doc_id, round(r.dist, 6) AS dist, {KEY.format("substring(m.text, 1, 300)")} AS text_key
+FROM reps r JOIN mem m USING (doc_id)""")
 def g3_representatives(spark, sf):
     return _reps(spark, sf).select("cluster", F.col("rank").cast("int").alias("rank"), "doc_id",
-                                   F.round("dist", 6).alias("dist"))
+                                   F.round("dist", 6).alias("dist"), _key("text").alias("text_key"))
 
 
-@query("g4_boundary_documents", G_BASE + "\nSELECT cluster, CAST(rank AS INTEGER) AS rank, doc_id, round(entropy, 4) AS entropy FROM bnd")
+@query("g4_boundary_documents", G_BASE + ",\n" + BND_TEXT + f"""
+SELECT cluster, CAST(rank AS INTEGER) AS rank, doc_id, round(entropy, 4) AS entropy, {KEY.format("text")} AS text_key, tops FROM bt""")
 def g4_boundary_documents(spark, sf):
     b = profiles.boundary_documents(_mem(spark, sf))
-    return b.select("cluster", F.col("rank").cast("int").alias("rank"), "doc_id", "entropy")
+    return b.select("cluster", F.col("rank").cast("int").alias("rank"), "doc_id", "entropy", _key("text").alias("text_key"),
+                    _clusters("membership_distribution").alias("tops"))
 
 
-@query("g5_profiles", G_BASE + """
-SELECT s.cluster, s.size, tc.cats, r.reps, b.bnd FROM (SELECT label AS cluster, CAST(count(*) AS BIGINT) AS size FROM lab GROUP BY label) s
+@query("g5_profiles", G_BASE + ",\n" + BND_TEXT + f"""
+SELECT s.cluster, s.size, tc.cats, {KEY.format("r.texts")} AS reps, {KEY.format("b.texts")} AS bnd
+FROM (SELECT label AS cluster, CAST(count(*) AS BIGINT) AS size FROM lab GROUP BY label) s
 LEFT JOIN (SELECT cluster, string_agg(category || ':' || CAST(cnt AS VARCHAR), ';' ORDER BY rank) AS cats FROM topc GROUP BY cluster) tc USING (cluster)
-LEFT JOIN (SELECT cluster, string_agg(CAST(doc_id AS VARCHAR), ';' ORDER BY rank) AS reps FROM reps GROUP BY cluster) r USING (cluster)
-LEFT JOIN (SELECT cluster, string_agg(CAST(doc_id AS VARCHAR), ';' ORDER BY rank) AS bnd FROM bnd GROUP BY cluster) b USING (cluster)""")
+LEFT JOIN (SELECT r.cluster, string_agg(substring(m.text, 1, 300), chr(10) ORDER BY r.rank) AS texts FROM reps r JOIN mem m USING (doc_id) GROUP BY r.cluster) r USING (cluster)
+LEFT JOIN (SELECT cluster, string_agg(text || '|' || tops, chr(10) ORDER BY rank) AS texts FROM bt GROUP BY cluster) b USING (cluster)""")
 def g5_profiles(spark, sf):
-    mem = _mem(spark, sf)
-    cents = model.fitted(spark, sf).centroids
-    cats = profiles.top_categories(mem).groupBy("cluster").agg(F.array_join(F.transform(F.sort_array(
-        F.collect_list(F.struct("rank", "category", "cnt"))), lambda s: F.concat_ws(":", s["category"], s["cnt"].cast("string"))), ";")
-        .alias("cats"))
-    reps = profiles.representatives(mem, cents).groupBy("cluster").agg(F.array_join(F.transform(F.sort_array(
-        F.collect_list(F.struct("rank", "doc_id"))), lambda s: s["doc_id"].cast("string")), ";").alias("reps"))
-    bnd = profiles.boundary_documents(mem).groupBy("cluster").agg(F.array_join(F.transform(F.sort_array(
-        F.collect_list(F.struct("rank", "doc_id"))), lambda s: s["doc_id"].cast("string")), ";").alias("bnd"))
-    return profiles.sizes(mem).join(cats, "cluster", "left").join(reps, "cluster", "left").join(bnd, "cluster", "left")
+    """The profile rows, with their lists as strings."""
+    p = profiles.profiles(_mem(spark, sf), model.fitted(spark, sf).centroids)
+    cats = F.array_join(F.transform("top_categories", lambda s: F.concat_ws(":", s["category"], s["cnt"].cast("string"))), ";")
+    bnd = F.array_join(F.transform("boundary_documents", lambda s: F.concat_ws("|", s["text"], _clusters(s["membership_distribution"]))), "\n")
+    return p.select("cluster", "size", cats.alias("cats"), _key(F.array_join("representative_texts", "\n")).alias("reps"), _key(bnd).alias("bnd"))
 
 
 G6_SQL = G_BASE + f""",
