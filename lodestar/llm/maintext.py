@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled pages that the weights are fitted on, at most (those with the smallest hash of their id).
+#: Pages among which the weights are fitted, about (by a hash of id and url).
 FIT_PAGES = 4000
 
 # Element names of the HTML standard by their role here.
@@ -280,10 +280,14 @@ def _observe(batches):
 
 
 def fit_weights(pages: DataFrame, fit_pages: int = FIT_PAGES) -> dict[str, float]:
-    """Weights from at most ``fit_pages`` labelled pages; features are element names, few whatever the input."""
-    labelled = (pages.filter(F.lower("html").rlike("<(article|main)[\\s>]")).orderBy(F.xxhash64(F.col("page_id").cast("string")), "html")
-                .select(F.col("html").cast("string")).limit(fit_pages))
-    rows = (labelled.repartition(8).mapInArrow(_observe, "feature string, inside boolean, n long")
+    """Weights from the labelled ones among about ``fit_pages`` pages, chosen by a hash; features are element names, few whatever the input.
+
+    The pages are counted where they lie: only counts are moved.
+    """
+    share = min(1.0, fit_pages / max(1, pages.count()))
+    chosen = F.pmod(F.xxhash64(F.col("page_id").cast("string"), F.col("url").cast("string")), F.lit(1 << 30)) < int(share * (1 << 30))
+    labelled = pages.filter(chosen).select(F.col("html").cast("string").alias("html")).filter(F.lower("html").rlike("<(article|main)[\\s>]"))
+    rows = (labelled.mapInArrow(_observe, "feature string, inside boolean, n long")
             .filter(F.col("feature").rlike("^<?[a-z][a-z0-9]{0,15}$|^$")).groupBy("feature", "inside").agg(F.sum("n").alias("n"))
             .orderBy(F.desc("n"), "feature").limit(1000).collect())
     return weights({(r["feature"], r["inside"]): r["n"] for r in rows})
