@@ -68,11 +68,44 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeats(table(spark, sf_dir, "documents"), width=50)
 
 
-@query("op6_quality_rules")
+#: Base counts, tested cutoffs and verdicts.  Fixed values: the risk 0.02 and error 0.05 are shared by 6 rules and all strata.
+OP6_SQL = r"""
+WITH w AS (SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls FROM documents),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i,
+  unnest(list_transform(range(1, len(ws) - 1), lambda i: concat(ws[i], ' ', ws[i + 1], ' ', ws[i + 2]))) AS g FROM w WHERE len(ws) >= 3)),
+v AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM g WHERE c > 1) GROUP BY doc_id),
+f AS (SELECT w.doc_id, lang, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+  CAST(coalesce(v.n, 0) AS BIGINT) AS n_repeat_words, len(ls) AS n_lines, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper
+  FROM w LEFT JOIN v USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
+grid AS (SELECT rule, unnest(range(1, len(cuts) + 1)) AS i, unnest(cuts) AS cut FROM (VALUES
+  ('symbols_per_word', [2.0, 1.5, 1.0, 0.75, 0.5, 0.35, 0.25, 0.15, 0.1]::DOUBLE[]), ('upper_share', [0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1]),
+  ('dup_line_share', [0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.35, 0.3]), ('repeat_share', [0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1]),
+  ('word_length', [12.0, 10.0, 9.0, 8.5, 8.0, 7.5, 7.0, 6.5]), ('word_shortness', [-2.0, -2.5, -3.0, -3.25, -3.5, -3.75, -4.0])) x(rule, cuts)),
+m AS (SELECT doc_id, lang, unnest(['symbols_per_word', 'upper_share', 'dup_line_share', 'repeat_share', 'word_length', 'word_shortness']) AS rule,
+  unnest([n_symbols / n_words, n_upper / word_chars, n_dup_lines / n_lines, n_repeat_words / n_words, word_chars / n_words, -word_chars / n_words]) AS x
+  FROM b WHERE NOT base_failed),
+good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1),
+cell AS (SELECT m.lang, grid.rule, grid.i, any_value(grid.cut) AS cut, count(*) AS n, count(*) FILTER (WHERE m.x > grid.cut) AS k
+  FROM m SEMI JOIN good USING (doc_id) JOIN grid USING (rule) GROUP BY m.lang, grid.rule, grid.i),
+test AS (SELECT *, CASE WHEN k >= n * 0.02 / 6 THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
+  + j * ln(0.02 / 6) + (n - j) * ln(1 - 0.02 / 6)))) END * 6 * (SELECT count(*) FROM (SELECT DISTINCT lang FROM cell)) <= 0.05 AS ok FROM cell),
+cuts AS (SELECT lang, rule, min(cut) AS cut FROM (SELECT *, coalesce(min(CASE WHEN NOT ok THEN i END) OVER (PARTITION BY lang, rule), 1000) AS stop FROM test)
+  WHERE i < stop GROUP BY lang, rule),
+bad AS (SELECT DISTINCT m.doc_id FROM m JOIN cuts ON cuts.rule = m.rule AND cuts.lang IS NOT DISTINCT FROM m.lang AND m.x > cuts.cut)
+SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.doc_id IS NULL AS kept
+FROM b LEFT JOIN bad ON bad.doc_id = b.doc_id
+"""
+
+
+@query("op6_quality_rules", OP6_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdicts for all documents, with cutoffs from the labelled ones."""
     from lodestar.llm.quality import judge
-    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 @query("op2_mix_sources")
