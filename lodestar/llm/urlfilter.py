@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.llm.shared import written
+
 # The rules (verdict, host, path).
 RULES = (
     ("allow", "org", "/"),
@@ -25,7 +27,7 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-#: Words in the list, at most (the most frequent, then by code point).
+#: Words in the list, at most (the most frequent).
 WORDS = 50_000
 #: Hashed word counts of the naive Bayes.
 BUCKETS = 1 << 16
@@ -117,17 +119,27 @@ def _bucket(token: str) -> int:
 
 
 def word_counts(pages: DataFrame, limit: int = WORDS) -> dict[str, int]:
-    """Counts over all pages of the words in titles, paths and hyphenated host labels; the ``limit`` most frequent.
+    """Counts over all pages of the words in titles, paths and hyphenated host labels; at most the ``limit`` most frequent.
 
-    Other host labels are left out: a frequent host would become a word that is never split.
+    Other host labels are left out: a frequent host would become a word that
+    is never split.  The least count that keeps the list within ``limit`` is
+    found from a histogram (eight steps for each doubling), so that only the
+    list itself reaches the driver.
     """
     host, path = parts(F.col("url"))
     hyphened = F.array_join(F.regexp_extract_all(host, F.lit("[^.]*-[^.]*"), F.lit(0)), " ")
     title = F.regexp_extract(F.coalesce(F.col("html").cast("string"), F.lit("")), "(?is)<title[^>]*>(.*?)</title", 1)
     words = F.split(F.lower(F.concat_ws(" ", hyphened, path, title)), "[^\\p{L}]+")
-    rows = (pages.select(F.explode(words).alias("w")).filter((F.length("w") >= 2) & (F.length("w") <= LONGEST))
-            .groupBy("w").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "w").limit(limit).collect())
-    return {r["w"]: r["n"] for r in rows}
+    counts = written(pages.select(F.explode(words).alias("w")).filter((F.length("w") >= 2) & (F.length("w") <= LONGEST))
+                     .groupBy("w").agg(F.count(F.lit(1)).alias("n")), "url-words")
+    step = F.floor(F.log2("n") * 8).cast("int")
+    least, total = None, 0
+    for r in sorted(counts.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("words")).collect(), key=lambda r: -r["s"]):
+        total += r["words"]
+        if total > limit:
+            break
+        least = r["s"]
+    return {r["w"]: r["n"] for r in counts.filter(step >= least).collect()} if least is not None else {}
 
 
 def _train(lexicon: Lexicon):
