@@ -7,12 +7,16 @@ unique words (equal words next to a gap's ends are taken first).  A template's
 coverage is the share of its words that the alignment matches.
 
 A template is looked for wherever a stretch of twice its length holds enough
-of its distinct words, which no stretch with the wanted coverage misses.  A
-text that repeats a notice so has it aligned once per place.
+of its distinct words, which no stretch with the wanted coverage misses.
+Overlapping stretches are one place.  Where copies stand close together, a
+place holds every word several times and has no anchors, so its stretches of
+twice the template's length are aligned as well, by a longest common
+subsequence, and the best alignment counts.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -125,10 +129,59 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def exact(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Matched positions of a longest common subsequence, for short stretches."""
+    rest = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]  # longest of a[i:] and b[j:]
+    for i in range(len(a) - 1, -1, -1):
+        row, below = rest[i], rest[i + 1]
+        for j in range(len(b) - 1, -1, -1):
+            row[j] = below[j + 1] + 1 if a[i] == b[j] else max(below[j], row[j + 1])
+    out, i, j = [], 0, 0
+    while i < len(a) and j < len(b):
+        if a[i] == b[j]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        elif rest[i + 1][j] >= rest[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
 class Template:
     def __init__(self, name: str, text: str):
         self.name, self.words = name, words_of(text)
         self.vocabulary = frozenset(self.words)
+        self.bits: dict[str, int] = {}
+        for j, w in enumerate(self.words):
+            self.bits[w] = self.bits.get(w, 0) | 1 << j
+
+    def common(self, words: list[str]) -> int:
+        """Length of the longest common subsequence with the template, by bit vectors."""
+        full = (1 << len(self.words)) - 1
+        v = full
+        for w in words:
+            m = self.bits.get(w)
+            if m is not None:
+                u = v & m
+                v = (v + u | v - u) & full
+        return len(self.words) - v.bit_count()
+
+    def densest(self, at: list[int], words: list[str], lo: int, hi: int, least: int) -> tuple[int, int] | None:
+        """The first stretch of twice the template's length in ``words[lo:hi]`` with the longest common subsequence, if longer than ``least``.
+
+        Blocks of three lengths, one length apart, hold every such stretch; only those that can beat the best are searched.
+        """
+        n = len(self.words)
+        best = None
+        for block in range(lo, hi, n):
+            if self.common(words[block:min(block + 3 * n, hi)]) <= least:
+                continue
+            for p in at[bisect_left(at, block):bisect_left(at, block + n)]:
+                got = self.common(words[p:min(p + 2 * n, hi)])
+                if got > least:
+                    best, least = (p, min(p + 2 * n, hi)), got
+        return best
 
     def places(self, at: list[int], words: list[str], coverage: float) -> list[tuple[int, int]]:
         """Stretches of twice the template's length that hold enough of its distinct words; ``at``: where those occur."""
@@ -170,10 +223,20 @@ def scan(text: str | None, coverage: float = COVERAGE) -> list[tuple[float, int,
         if len(present & t.vocabulary) < len(t.vocabulary) - int((1 - coverage) * len(t.words) + 1e-9):
             continue
         best = None
-        for lo, hi in t.places([i for i in hits if words[i] in t.vocabulary], words, coverage):
+        at = [i for i in hits if words[i] in t.vocabulary]
+        for lo, hi in t.places(at, words, coverage):
+            if best is not None and best[0] == len(t.words):
+                break
             got = align(words[lo:hi], t.words)
-            if got and (best is None or len(got) > best[0]):
-                best = (len(got), lo + got[0][0], lo + got[-1][0])
+            whole = (len(got), lo + got[0][0], lo + got[-1][0]) if got else None
+            if hi - lo <= 2 * len(t.words) and whole is not None and (best is None or whole[0] > best[0]):
+                best = whole
+            stretch = t.densest(at, words, lo, hi, max(best[0] if best is not None else 0, math.ceil(coverage * len(t.words) - 1e-9) - 1))
+            if stretch is not None:
+                got = exact(words[stretch[0]:stretch[1]], t.words)
+                best = (len(got), stretch[0] + got[0][0], stretch[0] + got[-1][0])
+            if whole is not None and (best is None or whole[0] > best[0]):
+                best = whole
         if best is not None and best[0] >= coverage * len(t.words) - 1e-9:
             out.append((best[0] / len(t.words), best[0], t.name, best[1], best[2]))
     return sorted(out, key=lambda r: (-r[1], -r[0], r[2]))
