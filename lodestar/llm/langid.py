@@ -13,6 +13,9 @@ Python runs per word.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,22 +32,27 @@ BUCKETS = 1 << 16
 SWITCH = 12.0
 #: A script belongs to a language that has at least this share of its words in it.
 SCRIPT_SHARE = 0.01
-#: Words with no letter of a listed script.
+#: Letters of all scripts without a number of their own; also the words without a letter.
 OTHER = 0
 
-# First code points of Unicode ranges and their script; the number 0 stands for no letter.
+# First code points of Unicode ranges and their script.
 SCRIPTS = ("other", "latin", "greek", "cyrillic", "armenian", "hebrew", "arabic", "devanagari", "bengali", "thai", "georgian", "hangul", "kana", "han")
 RANGES = [
     (0x0000, 0), (0x0041, 1), (0x005B, 0), (0x0061, 1), (0x007B, 0), (0x00AA, 1), (0x00AB, 0), (0x00BA, 1), (0x00BB, 0), (0x00C0, 1), (0x00D7, 0),
     (0x00D8, 1), (0x00F7, 0), (0x00F8, 1), (0x02B9, 0), (0x0370, 2), (0x0400, 3), (0x0530, 4), (0x0590, 5), (0x0600, 6), (0x0700, 0), (0x0750, 6),
     (0x0780, 0), (0x0900, 7), (0x0980, 8), (0x0A00, 0), (0x0E00, 9), (0x0E80, 0), (0x10A0, 10), (0x1100, 11), (0x1200, 0), (0x1E00, 1), (0x1F00, 2),
     (0x2000, 0), (0x3040, 12), (0x3100, 0), (0x3130, 11), (0x3190, 0), (0x3400, 13), (0xA000, 0), (0xAC00, 11), (0xD7B0, 0), (0xF900, 13),
-    (0xFB00, 0), (0xFB50, 6), (0xFE00, 0), (0xFE70, 6), (0xFF00, 0), (0x20000, 13), (0x30000, 0),
+    (0xFB00, 1), (0xFB13, 4), (0xFB1D, 5), (0xFB50, 6), (0xFE00, 0), (0xFE70, 6), (0xFF00, 0), (0xFF21, 1), (0xFF5B, 0), (0xFF66, 12), (0xFFA0, 11),
+    (0xFFE0, 0), (0x20000, 13), (0x323B0, 0),
 ]
 _FROM = np.array([r[0] for r in RANGES])
 _SCRIPT = np.array([r[1] for r in RANGES], dtype=np.uint8)
-#: Scripts of all code points up to U+FFFF.
-_TABLE = _SCRIPT[np.searchsorted(_FROM, np.arange(0x10000), side="right") - 1]
+#: Scripts and kinds (``L`` letter, ``M`` mark, ...) of all code points.
+_TABLE = _SCRIPT[np.searchsorted(_FROM, np.arange(sys.maxunicode + 1), side="right") - 1]
+_KIND = np.frombuffer("".join(unicodedata.category(chr(c))[0] for c in range(sys.maxunicode + 1)).encode(), dtype=np.uint8)
+_LETTER = _KIND == ord("L")
+#: Marks are no letters, but many scripts write vowels with them: they belong to the triples.
+_SPELLED = _LETTER | (_KIND == ord("M"))
 
 
 def _code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,18 +77,18 @@ class Batch:
         self.text = np.repeat(np.arange(len(w)), w.counts)
         data = w.data
         at, cp = _code_points(data)
-        script = np.where(cp < 0x10000, _TABLE[np.minimum(cp, 0xFFFF)], _SCRIPT[np.searchsorted(_FROM, cp, side="right") - 1])
-        letter = script > 0
+        script = _TABLE[cp]
+        letter = _LETTER[cp]
         # the word of each character (characters between words have none, they hold no letters)
         of = np.searchsorted(w.start, at, side="right") - 1
         hit = letter & (of >= 0)
         counts = np.bincount(of[hit] * len(SCRIPTS) + script[hit], minlength=self.n * len(SCRIPTS)).reshape(self.n, len(SCRIPTS))
         self.letters = counts.sum(axis=1)
         self.script = np.where(self.letters > 0, counts.argmax(axis=1), OTHER) if self.n else np.zeros(0, np.int64)
-        # triples over letters only: other bytes count as the word's edge
+        # triples over letters and marks only: other bytes count as the word's edge
         edge = np.zeros(len(data) + 2, dtype=np.uint32)
         is_letter = np.zeros(len(data), dtype=bool)
-        is_letter[at[letter]] = True
+        is_letter[at[_SPELLED[cp]]] = True
         lead = np.maximum.accumulate(np.where((data & 0xC0) != 0x80, np.arange(len(data)), 0)) if len(data) else np.zeros(0, np.int64)
         inside = is_letter[lead] if len(data) else is_letter
         edge[1:-1] = np.where(inside, data, 0)

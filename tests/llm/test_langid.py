@@ -69,3 +69,27 @@ def test_viterbi_equals_brute_force(make_docs):
             score = np.array([max(score[b] - (SWITCH if b != a else 0) for b in range(k)) for a in range(k)]) + e[t]
         own = sum(e[t, label[t]] for t in range(lo, hi)) - SWITCH * sum(label[t] != label[t + 1] for t in range(lo, hi - 1))
         assert abs(own - score.max()) < 1e-6
+
+
+def test_every_letter_counts(make_docs):
+    """Languages whose scripts have no number of their own are learned and told apart; und is for texts without a letter."""
+    scripts = {"am": "ሀለሐመሠረ", "km": "កខគឃងច", "ta": "கஙசஞடண", "si": "කඛගඝඞඟ", "gom": "𐌰𐌱𐌲𐌳"}
+    langs = sorted(scripts)
+    data = []
+    for i in range(300):
+        r = random.Random(i)
+        lang = langs[i % 5] if i % 6 else "aa"
+        data.append((i, " ".join("".join(r.choice(scripts[lang]) for _ in range(4)) for _ in range(12)) if i % 6 else sentence("aa", i, 12), lang))
+    more = [(900, "கஙச க் hello டண கஙச ஞடண டணக", None), (901, "١٢٣ 12 — ் ،", None), (902, "ﬁ", None), (903, "ｈｅｌｌｏ", None), (904, "ꯀꯁ", None), (905, "ﾊﾛｰ", None), (906, "ㄅㄆ", None)]
+    got = {r["doc_id"]: r for r in identify(make_docs(data + more)).collect()}
+    assert all(got[i]["lang_pred"] == lang for i, _, lang in data)
+    assert got[900]["lang_pred"] == "ta" and got[900]["score"] > 0.5
+    assert (got[901]["lang_pred"], got[901]["score"]) == ("und", 0.0)
+    assert all(got[i]["lang_pred"] != "und" and got[i]["score"] > 0 for i in (902, 903, 904, 905, 906))
+
+
+def test_letters_are_those_of_unicode():
+    import unicodedata
+    text = "aé ß 漢 க் ក០ ሀ ߀ߊ ܐ ހ Ⴀ ᠠ Ａ ｱ 𐌰 𠀀 × 1 ٣ ، ̈"
+    batch = Batch(pa.array([text]))
+    assert batch.letters.tolist() == [sum(unicodedata.category(c)[0] == "L" for c in w) for w in text.lower().split()]
