@@ -73,3 +73,28 @@ def test_split_is_the_cheapest():
 
 def test_empty(spark):
     assert judge_urls(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_long_word_lists_are_whole(spark):
+    """Rare words split hosts, however many other words there are; splits are those of one list of all words."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    many = ["zq" + "".join(w) for w in itertools.islice(itertools.product(letters, repeat=4), 60_000)]
+    rows = [(i, "http://a.org/", f"<title>{' '.join(many[i * 1000:(i + 1) * 1000])}</title>") for i in range(60)]
+    rows += [(100, "http://quartzlantern.net/", "<title>quartz lantern</title>"), (101, "http://x.com/de/oddquartz", "")]
+    got = {r["page_id"]: r["words"] for r in judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[100].split() == ["h:quartz", "h:lantern", "h:net"]
+    counts = {w: 1 for w in [*many, "quartz", "lantern", "oddquartz", "de"]}
+    assert got[101].split() == ["h:x", "h:com", "p:de", *(f"p:{w}" for w in Lexicon(counts).split("oddquartz"))]
+
+
+def test_join_equals_one_list(spark):
+    import random
+
+    from lodestar.llm.urlfilter import segment
+    r = random.Random(3)
+    counts = {"".join(r.choice("abcé") for _ in range(r.randint(2, 5))): r.randint(1, 40) for _ in range(60)}
+    runs = {"".join(r.choice("abcéx") for _ in range(r.randint(1, 40))) for _ in range(300)} | {"x" * 60, "ab" * 200}
+    table = spark.createDataFrame(list(counts.items()), "w string, n long")
+    got = {x["run"]: x["words"] for x in segment(spark.createDataFrame([(x,) for x in runs], "run string"), table).collect()}
+    whole = Lexicon(counts)
+    assert {x: got.get(x, [x]) for x in runs} == {x: whole.split(x) for x in runs}
