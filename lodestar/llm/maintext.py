@@ -32,8 +32,8 @@ BLOCK = {
     "th", "thead", "tr", "ul",
 }
 NEVER = {
-    "applet", "aside", "audio", "button", "canvas", "datalist", "dialog", "embed", "fieldset", "footer", "form", "head", "iframe", "input",
-    "label", "math", "menu", "nav", "noembed", "noframes", "noscript", "object", "option", "script", "select", "style", "svg", "template",
+    "annotation", "annotation-xml", "applet", "aside", "audio", "button", "canvas", "datalist", "dialog", "embed", "fieldset", "footer", "form", "head", "iframe", "input",
+    "label", "menu", "nav", "noembed", "noframes", "noscript", "object", "option", "script", "select", "style", "svg", "template",
     "textarea", "title", "video", "xmp",
 }
 CONTENT = {"article", "main"}
@@ -51,6 +51,8 @@ TOP_NAMED = {"header", "topbar"}
 #: Elements that pages use for anything; what labelled pages use them for says little about others.
 GENERIC = {"div", "section", "span", "center", "table", "tbody", "tr", "td"}
 HEADINGS = {"h1", "h2", "h3"}
+#: Words that a telling class or role inside of an article takes from its element; what is left with none is left out.
+NAME_COST = 30.0
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^'"<>]++|"[^"]*+"|'[^']*+')*+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -67,12 +69,22 @@ class Item:
         self.name, self.close, self.text, self.never, self.around, self.within = name, close, text, never, around, within
 
 
-def _named(attributes: str) -> tuple[set[str], bool]:
+def _never(name: str, within: bool) -> bool:
+    return name in NEVER and not (within and name == "label")
+
+
+def _named(attributes: str, within: bool) -> tuple[set[str], bool]:
+    """Names that the attributes give, and whether the element is hidden; in an article classes and roles as wholes, and no id (headings have slugs)."""
     names, hidden = set(), False
     for key, value in _ATTRIBUTE.findall(attributes):
         key = key.lower()
         value = value.strip("\"'")
-        if key in ("class", "id", "role"):
+        if within and key in ("class", "role"):
+            for token in value.split():
+                # "ad-banner", "adBox" as wholes: all of it tells, other than in "related-work"
+                words = [w.lower() for w in re.split(r"[^A-Za-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token)) if w]
+                names.update(words if NEVER_NAMED.issuperset(words) else ["".join(words)])
+        elif not within and key in ("class", "id", "role"):
             # "commentList", "side-bar_ad2" -> words
             for part in re.split(r"[^A-Za-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value)):
                 names.add(part.lower())
@@ -87,6 +99,7 @@ def parse(page: str) -> list[Item]:
     items: list[Item] = []
     stack: list[tuple[str, bool, int]] = []  # open elements: name, never content, index of their tag
     marks: dict[int, int] = {}  # never-content elements that go by their names only: tag index -> end index
+    judged: dict[int, int] = {}  # elements with telling names inside of an article: tag index -> end index
     at = 0
 
     def state():
@@ -98,6 +111,11 @@ def parse(page: str) -> list[Item]:
     def within():
         return any(s[0] in CONTENT for s in stack)
 
+    def ends(entries):
+        for _, _, k in entries:
+            if k in judged:
+                judged[k] = len(items)
+
     def text(s):
         if s:
             items.append(Item(None, False, s, state(), around(), within()))
@@ -118,24 +136,27 @@ def parse(page: str) -> list[Item]:
                 for _, _, k in stack[depth:]:
                     if k in marks:
                         marks[k] = len(items)
+                ends(stack[depth:])
                 del stack[depth:]
             items.append(Item(name, True, "", inside, around(), within()))
             continue
         # an element that its parent's next child closes
         if name == "p" or name in BLOCK:
             while stack and stack[-1][0] == "p":
-                stack.pop()
+                ends([stack.pop()])
         if name in ("li", "tr", "td", "th", "dt", "dd", "option") and stack and stack[-1][0] == name:
-            stack.pop()
-        never = state() or name in NEVER
+            ends([stack.pop()])
+        in_content = within()
+        never = state() or _never(name, in_content)
         attributes = m[3]
         if not never and attributes:
-            names, hidden = _named(attributes)
-            in_content = within()
-            never = hidden or (in_content or name not in CONTENT) and name not in ("body", "html") and (
-                not NEVER_NAMED.isdisjoint(names) or not in_content and not TOP_NAMED.isdisjoint(names))
+            names, hidden = _named(attributes, in_content)
+            named = name not in ("body", "html") and not NEVER_NAMED.isdisjoint(names)
+            never = hidden or not in_content and name not in CONTENT and (named or name not in ("body", "html") and not TOP_NAMED.isdisjoint(names))
             if never and not hidden and name not in VOID:
                 marks[len(items)] = -1
+            elif not never and named and in_content and name not in VOID and not attributes.rstrip().endswith("/"):
+                judged[len(items)] = -1
         if name == "header" and not never:
             never = not within()
             if never:
@@ -152,9 +173,27 @@ def parse(page: str) -> list[Item]:
         # a wrapper with a telling name around the article itself is not what its name says
         if any(i.name in CONTENT and not i.close or i.name == "h1" and items[k].name != "header" for i in items[k + 1:end]):
             _restore(items, k, end)
+    if judged:
+        _judge(items, {k: len(items) if end < 0 else end for k, end in judged.items()})
     return items
 
 
+def _judge(items: list[Item], named: dict[int, int]) -> None:
+    """Leaves out the named elements whose words don't outweigh their names, unless they hold an article or its title."""
+    words, names, titles = [0.0], [0], [0]
+    for i, x in enumerate(items):
+        words.append(words[-1] + (len(x.text.split()) * (0.25 if x.around == "a" else 1.0) if x.name is None and not x.never else 0.0))
+        names.append(names[-1] + (i in named))
+        titles.append(titles[-1] + (x.name in CONTENT and not x.close or x.name == "h1"))
+    out = 0
+    for k, end in sorted(named.items()):
+        if k < out or titles[end] > titles[k + 1] or words[end] - words[k] > NAME_COST * (names[end] - names[k]):
+            continue
+        out = end + (end < len(items) and items[end].close and items[end].name == items[k].name)
+        for x in items[k:out]:
+            x.never = True
+
+
 def _restore(items: list[Item], start: int, end: int) -> None:
     """Takes the mark of the element ``start`` from what it holds, but not from elements that are never content by themselves."""
     items[start].never = False
@@ -163,7 +202,7 @@ def _restore(items: list[Item], start: int, end: int) -> None:
         if i.name is None:
             i.never = bool(inner)
         elif not i.close:
-            i.never = bool(inner) or i.name in NEVER
+            i.never = bool(inner) or _never(i.name, i.within)
             if i.never and i.name not in VOID and i.name not in RAW:
                 inner.append(i.name)
         else:

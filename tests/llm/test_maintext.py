@@ -74,3 +74,19 @@ def test_whole_table(spark):
         assert r["text"] == "\n".join(html.unescape(b) for b in blocks if b.strip()) and r["n_chars"] == len(r["text"])
     empty = pages.limit(0)
     assert extract_pages(empty).collect() == [] and fit_weights(empty) == {}
+
+
+def test_names_inside_of_an_article():
+    """Slugs as ids, names as parts of classes and long named sections don't cost an article its text; short named boxes go."""
+    def say(tag, n):
+        return " ".join(f"{tag}{i}" for i in range(n)) + "."
+    page = f"""<html><body><nav><a href="/">home</a></nav><article><h1>Title</h1><p>{say("intro", 60)}</p>
+        <h2 id="search-and-rescue">Search and rescue</h2><p>{say("rescue", 50)}</p><section id="discussion"><h2 id="a-form-of-art">A form of art</h2>
+        <p>{say("talk", 12)}</p></section><div class="related-work"><p>{say("related", 9)}</p></div><section class="discussion"><p>{say("long", 80)}</p></section>
+        <div class="ad">buy this now</div><p class="ad">and this<p>{say("after", 20)}</p>
+        <ul class="share"><li class="social"><a href="#">one</a><li class="social"><a href="#">two</a></ul>
+        <p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>hidden tex</annotation></math> be <label>the root</label> {say("end", 20)}</p>
+        <form><label>your mail</label></form></article><label>menu</label><footer>imprint</footer></body></html>"""
+    got = main_text(page, {}).split("\n")
+    assert got == ["Title", say("intro", 60), "Search and rescue", say("rescue", 50), "A form of art", say("talk", 12), say("related", 9), say("long", 80),
+                   say("after", 20), f"Let x=1 be the root {say('end', 20)}"]
