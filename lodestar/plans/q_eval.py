@@ -227,6 +227,29 @@ def f5_fuzziness_sweep(spark, sf):
                                                              "entropy_over_ln_k")], "n_iter")
 
 
+#: The sweeps as shipped; the fit's own defaults are m = 2, K = 15, stop at max|dU| < 1e-4, at most 150 steps.
+SHIPPED_K_GRID = list(range(8, 22))
+SHIPPED_K, SHIPPED_M, SHIPPED_TOL, SHIPPED_STEPS = 15, 2.0, 1e-4, 150
+
+
+@query("f4_k_sweep_shipped")
+def f4_k_sweep_shipped(spark, sf):
+    """K 8..21, every fit run until it stops (no SQL: the number of steps is not fixed)."""
+    vecs = common.corpus_vectors(spark, sf).select("doc_id", "embedding")
+    r = ev.k_sweep(spark, vecs, SHIPPED_K_GRID, m=SHIPPED_M, max_iter=SHIPPED_STEPS, tol=SHIPPED_TOL)
+    return r.select("k", F.round("silhouette", 6).alias("silhouette"), F.round("db_index", 6).alias("db_index"),
+                    F.round("fcm_loss", 6).alias("fcm_loss"), "n_iter", F.col("candidate_rank").cast("int").alias("candidate_rank"))
+
+
+@query("f5_fuzziness_sweep_shipped")
+def f5_fuzziness_sweep_shipped(spark, sf):
+    """All fuzziness values at K = 15, every fit run until it stops (no SQL: the number of steps is not fixed)."""
+    vecs = common.corpus_vectors(spark, sf).select("doc_id", "embedding")
+    r = ev.fuzziness_sweep(spark, vecs, M_GRID, k=SHIPPED_K, max_iter=SHIPPED_STEPS, tol=SHIPPED_TOL)
+    return r.select("m", *[F.round(c, 6).alias(c) for c in ("mean_entropy", "mean_max_membership", "pct_ambiguous",
+                                                             "entropy_over_ln_k")], "n_iter")
+
+
 # ---------------------------------------------------------------- G: profiles
 
 G_BASE = BASE + ",\n" + LAB + f""",
