@@ -178,9 +178,10 @@ def drop_repeats(docs: DataFrame, width: int = 50, with_text: bool = False, carr
     anchors = single.select("doc_id", "mark", "text").mapInArrow(_anchors(width), rows)
     shared = written(anchors.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("h"),
                       "substring-shared")
+    # places are kept once, however many rows repeat a text and its id
     mark, place = F.shiftright("loc", 32).cast("int").alias("mark"), F.col("loc").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
     found = written(anchors.join(shared, "h").select("doc_id", mark, place.alias("p"))
-                     .groupBy("doc_id", "mark").agg(F.collect_list("p").alias("anchors")), "substring-found")
+                     .groupBy("doc_id", "mark").agg(F.collect_set("p").alias("anchors")), "substring-found")
     ids = found.select("doc_id", "mark")
 
     # only texts with shared anchors are dealt out by id, once for all three uses
@@ -191,7 +192,7 @@ def drop_repeats(docs: DataFrame, width: int = 50, with_text: bool = False, carr
     owner = (windows.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
              .select((F.col("h").bitwiseXOR(F.lit(1))).alias("key"), "lo"))
     dropped = (windows.withColumn("key", F.col("h").bitwiseXOR(F.lit(1))).join(owner, "key").filter("doc_id > lo")
-               .select("doc_id", mark, place.alias("p")).groupBy("doc_id", "mark").agg(F.collect_list("p").alias("starts")))
+               .select("doc_id", mark, place.alias("p")).groupBy("doc_id", "mark").agg(F.collect_set("p").alias("starts")))
 
     fields = ("doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if with_text else "")
               + "".join(f", {c} string" for c in carry))

@@ -4,6 +4,7 @@ import re
 
 from llm_helpers import prose
 
+from lodestar.llm import substring
 from lodestar.llm.substring import COVERS, drop_repeats
 
 
@@ -54,6 +55,23 @@ def test_overlapping_owners(make_docs):
     assert result(drop_repeats(make_docs(rows))) == expected(rows, 50)
 
 
+def test_repeated_rows_share_their_places(make_docs, monkeypatch):
+    """Many equal rows of one id: the list of anchors is one row's."""
+    a = prose(51, 80)
+    text = " ".join(prose(52, 30) + a)
+    rows = [(1, " ".join(a))] + [(2, text)] * 40
+    seen = {}
+    written = substring.written
+
+    def spy(df, name):
+        seen[name] = written(df, name)
+        return seen[name]
+    monkeypatch.setattr(substring, "written", spy)
+    assert result(drop_repeats(make_docs(rows))) == expected(rows, 50)
+    found = [r["anchors"] for r in seen["substring-found"].collect()]
+    assert len(found) == 2 and all(len(p) == len(set(p)) for p in found)
+
+
 def test_text_keeps_its_white_space(make_docs):
     a = prose(41, 60)
     rows = [(1, " ".join(a)), (2, "start\nhere  " + " ".join(a) + "\n the\tend "), (3, "plain \n text"), (4, None), (None, " x ")]
