@@ -163,3 +163,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The license notices and texts that each document holds."""
     from lodestar.llm.licenses import scan_documents
     return scan_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op13_repair_conversations")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage, faults and cheapest repair of every conversation."""
+    from lodestar.llm.repair import repair_conversations
+    return repair_conversations(table(spark, sf_dir, "conversations"))
