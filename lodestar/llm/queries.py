@@ -170,3 +170,32 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damage, faults and cheapest repair of every conversation."""
     from lodestar.llm.repair import repair_conversations
     return repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+#: Counts of every kept term in every group, zeros included; sums of differences over all pairs of sources.
+OP12_SQL = r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+k AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(ws)) AS term FROM d) GROUP BY lang, term HAVING count(*) >= 30),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(ws) AS term FROM d) SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+f AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM g JOIN k ON k.lang = g.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT f.lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY f.lang, source) + 5 * v) AS p FROM f JOIN v ON v.lang = f.lang),
+q AS (SELECT t.lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY t.lang) + 5 * v) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term) t JOIN v ON v.lang = t.lang),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT p.lang, p.source, 'term', p.term, p.p - q.q FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE n > 0 AND p.p > q.q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r) WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query("op12_source_divergence", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language lie apart, and the terms that mark each source."""
+    from lodestar.llm.divergence import divergence
+    return divergence(table(spark, sf_dir, "documents"))
