@@ -199,3 +199,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far the sources of each language lie apart, and the terms that mark each source."""
     from lodestar.llm.divergence import divergence
     return divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op11_document_fingerprints")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    from lodestar.llm.fingerprint import fingerprint_documents
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
