@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestar.functions.vectors import AMBIGUOUS_U, ENTROPY_EPS
 from lodestar.operators import fcm
 from lodestar.session import ship_package
 
@@ -84,65 +85,113 @@ def sampled_silhouette(spark: SparkSession, labelled: DataFrame, n: int, seed: i
         "silhouette", "n", F.lit(n_labels).cast("long").alias("n_labels"), F.lit("ok").alias("status"))
 
 
-_SUMS = "label int, dim int, s double"
+_SUMS = "model int, label int, dim int, s double"
 
 
-def _label_matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    flat = batch.column("embedding")
-    x = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
-    return batch.column("label").to_numpy().astype(np.int64), x
+def _given(batch: pa.RecordBatch, x: np.ndarray) -> list[np.ndarray]:
+    """The one labelling that a table brings along."""
+    return [batch.column("label").to_numpy().astype(np.int64)]
 
 
-def _long(labels: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+def _fitted(models: list) -> object:
+    """One labelling per fitted model: the cluster of the highest membership, the lowest number on a tie."""
+    shapes = [(model.centroids, model.m) for model in models]
+
+    def labels(batch: pa.RecordBatch, x: np.ndarray) -> list[np.ndarray]:
+        return [fcm._memb(fcm._sqdist(x, v), m).argmax(axis=1) for v, m in shapes]
+    return labels
+
+
+def _long(model: int, labels: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
     """One row per (label, column) of ``values``; columns are numbered from 0."""
     k, d = values.shape
-    return pa.record_batch({"label": pa.array(np.repeat(labels, d), pa.int32()), "dim": pa.array(np.tile(np.arange(d), k), pa.int32()),
-                            "s": pa.array(values.ravel(), pa.float64())})
+    return pa.record_batch({"model": pa.array(np.full(k * d, model), pa.int32()), "label": pa.array(np.repeat(labels, d), pa.int32()),
+                            "dim": pa.array(np.tile(np.arange(d), k), pa.int32()), "s": pa.array(values.ravel(), pa.float64())})
 
 
-def _sums(batches):
-    """Per label: count, sum of squared norms, vector sum."""
+def _blocks(batches, labels):
+    """Vectors, and their labels in every labelling, some thousand rows at a time."""
     for b in batches:
-        if b.num_rows:
-            lab, x = _label_matrix(b)
-            ks, at = np.unique(lab, return_inverse=True)
-            out = np.zeros((len(ks), 2 + x.shape[1]))
-            np.add.at(out, at, np.c_[np.ones(len(x)), (x * x).sum(1), x])
-            yield _long(ks, out)
+        x = fcm.matrix(b.column("embedding"))
+        for lo in range(0, len(x), fcm.ROWS):
+            part = x[lo:lo + fcm.ROWS]
+            yield part, labels(b.slice(lo, len(part)), part)
 
 
-def _scores(ks: np.ndarray, n: np.ndarray, mean: np.ndarray, psi: np.ndarray):
-    """Per label: sum of distances to the own mean, sum of squared silhouettes' scores."""
+def _sums(labels):
+    """Per labelling and label: count, sum of squared norms, vector sum; once per task."""
     def run(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            lab, x = _label_matrix(b)
-            own = np.searchsorted(ks, lab)
-            r = np.arange(len(x))
-            xx = (x * x).sum(1)
-            dot = x @ mean.T
-            spread = np.sqrt(np.maximum(xx - 2 * dot[r, own] + (mean[own] ** 2).sum(1), 0.0))
-            d = np.maximum(xx[:, None] - 2 * dot + psi[None, :], 0.0)  # mean squared distance to each cluster
-            d[d < 1e-12] = 0.0
-            a = d[r, own] * n[own] / np.maximum(n[own] - 1, 1)
-            d[r, own] = np.inf
-            low = d.min(axis=1)
-            top = np.maximum(a, low)
-            s = np.where((n[own] > 1) & (top > 0), (low - a) / np.where(top > 0, top, 1.0), 0.0)
-            out = np.zeros((len(ks), 2))
-            np.add.at(out, own, np.c_[spread, s])
-            yield _long(ks, out)
+        found: dict = {}
+        for x, every in _blocks(batches, labels):
+            seen = np.c_[np.ones(len(x)), (x * x).sum(1), x]
+            for model, lab in enumerate(every):
+                for k in np.unique(lab).tolist():
+                    key = (model, k)
+                    found[key] = found.get(key, 0.0) + seen[lab == k].sum(0)
+        for (model, k), values in found.items():
+            yield _long(model, np.array([k]), values[None])
+    return run
+
+
+def _scores(labels, stats: list[tuple]):
+    """Per labelling and label: sum of distances to the own mean, sum of squared silhouettes' scores; once per task."""
+    def run(batches):
+        found = [np.zeros((len(ks), 2)) for ks, _, _, _ in stats]
+        for x, every in _blocks(batches, labels):
+            r, xx = np.arange(len(x)), (x * x).sum(1)
+            for lab, (ks, n, mean, psi), out in zip(every, stats, found):
+                if len(ks) < 2:
+                    continue
+                own = np.searchsorted(ks, lab)
+                dot = x @ mean.T
+                spread = np.sqrt(np.maximum(xx - 2 * dot[r, own] + (mean[own] ** 2).sum(1), 0.0))
+                d = np.maximum(xx[:, None] - 2 * dot + psi[None, :], 0.0)  # mean squared distance to each cluster
+                d[d < 1e-12] = 0.0
+                a = d[r, own] * n[own] / np.maximum(n[own] - 1, 1)
+                d[r, own] = np.inf
+                low = d.min(axis=1)
+                top = np.maximum(a, low)
+                s = np.where((n[own] > 1) & (top > 0), (low - a) / np.where(top > 0, top, 1.0), 0.0)
+                out[:, 0] += np.bincount(own, weights=spread, minlength=len(ks))
+                out[:, 1] += np.bincount(own, weights=s, minlength=len(ks))
+        for model, ((ks, _, _, _), out) in enumerate(zip(stats, found)):
+            if len(ks):
+                yield _long(model, ks, out)
     return run
 
 
-def _merged(parts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    rows = parts.groupBy("label", "dim").agg(F.sum("s").alias("s")).collect()  # one row per label and column
-    ks = np.array(sorted({r["label"] for r in rows}), dtype=np.int64)
-    out = np.zeros((len(ks), max([r["dim"] for r in rows] + [1]) + 1))
-    for r in rows:
-        out[np.searchsorted(ks, r["label"]), r["dim"]] = r["s"]
-    return ks, out
+def _merged(parts: DataFrame, models: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per labelling, its labels and their sums: one row per labelling, label and column reaches the driver."""
+    rows = parts.groupBy("model", "label", "dim").agg(F.sum("s").alias("s")).toArrow()
+    model, label, dim, s = (rows.column(c).to_numpy() for c in ("model", "label", "dim", "s"))
+    out = []
+    for i in range(models):
+        own = model == i
+        ks, at = np.unique(label[own], return_inverse=True)
+        values = np.zeros((len(ks), int(dim[own].max(initial=1)) + 1))
+        values[at, dim[own]] = s[own]
+        out.append((ks.astype(np.int64), values))
+    return out
+
+
+def _all_scores(rows: DataFrame, labels, models: int) -> list[dict]:
+    """Silhouette and Davies-Bouldin of every labelling in two passes over ``rows``."""
+    stats = []
+    for ks, sums in _merged(rows.mapInArrow(_sums(labels), _SUMS), models):
+        n = sums[:, 0]
+        stats.append((ks, n, sums[:, 2:] / n[:, None], sums[:, 1] / n))
+    scored = _merged(rows.mapInArrow(_scores(labels, stats), _SUMS), models)
+    out = []
+    for (ks, n, mean, _), (_, scores) in zip(stats, scored):
+        v = {"silhouette": None, "davies_bouldin": None, "n": int(n.sum()), "n_labels": len(ks)}
+        if len(ks) > 1:
+            spread = scores[:, 0] / n
+            apart = np.sqrt(((mean[:, None, :] - mean[None, :, :]) ** 2).sum(-1))
+            apart[apart < 1e-12] = np.inf
+            worst = ((spread[:, None] + spread[None, :]) / apart).max(axis=1)
+            v.update(silhouette=float(scores[:, 1].sum() / n.sum()), davies_bouldin=float(worst.mean()))
+        out.append(v)
+    return out
 
 
 def cluster_scores(spark: SparkSession, labelled: DataFrame) -> dict:
@@ -154,18 +203,13 @@ def cluster_scores(spark: SparkSession, labelled: DataFrame) -> dict:
     than two labels; a singleton cluster and coincident rows score 0.
     """
     ship_package(spark)
-    rows = labelled.select("embedding", F.col("label").cast("int").alias("label"))
-    ks, sums = _merged(rows.mapInArrow(_sums, _SUMS))
-    n = sums[:, 0]
-    if len(ks) < 2:
-        return {"silhouette": None, "davies_bouldin": None, "n": int(n.sum()), "n_labels": len(ks)}
-    mean, psi = sums[:, 2:] / n[:, None], sums[:, 1] / n
-    _, scored = _merged(rows.mapInArrow(_scores(ks, n, mean, psi), _SUMS))
-    spread = scored[:, 0] / n
-    apart = np.sqrt(((mean[:, None, :] - mean[None, :, :]) ** 2).sum(-1))
-    apart[apart < 1e-12] = np.inf
-    worst = ((spread[:, None] + spread[None, :]) / apart).max(axis=1)
-    return {"silhouette": float(scored[:, 1].sum() / n.sum()), "davies_bouldin": float(worst.mean()), "n": int(n.sum()), "n_labels": len(ks)}
+    return _all_scores(labelled.select("embedding", F.col("label").cast("int").alias("label")), _given, 1)[0]
+
+
+def model_scores(spark: SparkSession, vecs: DataFrame, models: list) -> list[dict]:
+    """F2/F3 of every fitted model's hard labels over the same vectors, all models in the same two passes."""
+    ship_package(spark)
+    return _all_scores(vecs.select("embedding"), _fitted(models), len(models))
 
 
 def _status(v: dict) -> str:
@@ -227,38 +271,45 @@ def exact_quantile(df: DataFrame, column: str, q: float, keep: int = 20_000) ->
     return values[first] + (values[second] - values[first]) * (rank - first)
 
 
+def _softness(models: list):
+    """Per model: sums of membership entropy, highest membership, ambiguous rows, rows; once per task."""
+    def run(batches):
+        sums = np.zeros((len(models), 4))
+        for x, _ in _blocks(batches, lambda *_: []):
+            for model, out in zip(models, sums):
+                u = fcm._memb(fcm._sqdist(x, model.centroids), model.m)
+                out += [-(u * np.log(u + ENTROPY_EPS)).sum(), u.max(axis=1).sum(), ((u > AMBIGUOUS_U).sum(axis=1) >= 2).sum(), len(u)]
+        yield pa.record_batch({"model": pa.array(np.arange(len(models)), pa.int32()),
+                               **{c: pa.array(sums[:, i].copy()) for i, c in enumerate(("entropy", "highest", "ambiguous", "n"))}})
+    return run
+
+
 def fuzziness_sweep(spark: SparkSession, vecs: DataFrame, m_values, k: int, max_iter: int, tol: float,
                     seed: int = 42) -> DataFrame:
     """per m: mean entropy, mean max membership, share ambiguous (plus
     entropy / ln K so a collapsed fit is visible).  ``vecs`` should be a
-    materialised (checkpointed) table: every fit streams it repeatedly."""
-    from lodestar.functions.vectors import entropy, is_ambiguous
+    materialised table: all fits share a pass a step, and one more pass gives
+    every model's figures."""
     vecs = vecs.select("doc_id", "embedding")
-    out = None
-    for m in m_values:
-        model = fcm.fit(spark, vecs, k=k, m=m, max_iter=max_iter, tol=tol, seed=seed, checkpoint=False)
-        u = fcm.predict(spark, model, vecs, keep=["doc_id"])
-        a = u.agg(F.avg(entropy("membership")).alias("mean_entropy"),
-                  F.avg(F.array_max("membership")).alias("mean_max_membership"),
-                  F.avg(is_ambiguous("membership").cast("double")).alias("pct_ambiguous"))
-        a = a.select(F.lit(float(m)).alias("m"), "*", (F.col("mean_entropy") / F.lit(float(np.log(k))))
-                     .alias("entropy_over_ln_k"), F.lit(model.n_iter).alias("n_iter"))
-        out = a if out is None else out.unionByName(a)
-    return out
+    models = fcm.fit_many(spark, vecs, [(k, m) for m in m_values], max_iter, tol, seed, checkpoint=False)
+    sums = (vecs.select("embedding").mapInArrow(_softness(models), "model int, entropy double, highest double, ambiguous double, n double")
+            .groupBy("model").agg(*[F.sum(c).alias(c) for c in ("entropy", "highest", "ambiguous", "n")]))
+    about = spark.createDataFrame([(i, float(model.m), model.n_iter) for i, model in enumerate(models)], "model int, m double, n_iter int")
+    mean = lambda c: F.try_divide(F.col(c), F.col("n"))
+    return about.join(F.broadcast(sums), "model", "left").select(  # one row a model on either side
+        "m", mean("entropy").alias("mean_entropy"), mean("highest").alias("mean_max_membership"), mean("ambiguous").alias("pct_ambiguous"),
+        (mean("entropy") / F.lit(float(np.log(k)))).alias("entropy_over_ln_k"), "n_iter")
 
 
 def k_sweep(spark: SparkSession, vecs: DataFrame, k_values, m: float, max_iter: int, tol: float,
             seed: int = 42) -> DataFrame:
     """per K: silhouette and Davies-Bouldin over all rows, final loss;
-    ``candidate_rank`` ranks K by silhouette instead of hard-coding one."""
-    from lodestar.functions.vectors import argmax
+    ``candidate_rank`` ranks K by silhouette instead of hard-coding one.  All
+    fits share a pass a step; two more passes score all of them."""
     vecs = vecs.select("doc_id", "embedding")
-    rows = []
-    for k in k_values:
-        model = fcm.fit(spark, vecs, k=k, m=m, max_iter=max_iter, tol=tol, seed=seed, checkpoint=False)
-        lab = fcm.predict(spark, model, vecs, keep=["doc_id", "embedding"]).withColumn("label", argmax("membership"))
-        v = cluster_scores(spark, lab)
-        rows.append((k, v["silhouette"], v["davies_bouldin"], float(model.loss_history[-1]), model.n_iter))
+    models = fcm.fit_many(spark, vecs, [(k, m) for k in k_values], max_iter, tol, seed, checkpoint=False)
+    rows = [(k, v["silhouette"], v["davies_bouldin"], float(model.loss_history[-1]), model.n_iter)
+            for k, model, v in zip(k_values, models, model_scores(spark, vecs, models))]
     df = spark.createDataFrame(rows, "k INT, silhouette DOUBLE, db_index DOUBLE, fcm_loss DOUBLE, n_iter INT")
     from pyspark.sql import Window
     return df.withColumn("candidate_rank", F.rank().over(Window.orderBy(F.col("silhouette").desc_nulls_last())))

@@ -4,10 +4,11 @@ State is the K x D centroid matrix only.  Memberships are a pure function
 of the centroids (u = memb(V)), so they are never stored during the fit:
 every iteration streams the (checkpointed) vectors once through an
 Arrow-batched numpy step that emits partial sums (sum u^m, sum u^m x,
-objective, max |delta u|) as K*D+K+2 long-form rows per batch.  A grouped
+objective, max |delta u|) as K*D+K+1 long-form rows per task.  A grouped
 sum (partial + final aggregation) merges them, and only the K x D result
-comes back to the driver, which tests convergence and broadcasts the next
-centroids.  Shuffle per iteration: batches * K * D rows, independent of N.
+comes back to the driver, which tests convergence and sends out the next
+centroids with the next step.  Any number of fits share the steps' passes.
+Shuffle per iteration: tasks * K * D rows, independent of N.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,40 +62,66 @@ def _memb(d: np.ndarray, m: float) -> np.ndarray:
     return weight / weight.sum(axis=1, keepdims=True)
 
 
-def _stack(col: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in col])
+def matrix(column: pa.Array) -> np.ndarray:
+    """A batch's vectors as rows of one matrix, from the flat buffer of the Arrow list."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(np.float64, copy=False).reshape(len(column), -1)
 
 
-_PART = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("c", T.IntegerType()),
-                      T.StructField("dim", T.IntegerType()), T.StructField("v", T.DoubleType())])
-KIND_WX, KIND_W, KIND_LOSS, KIND_DELTA = 0, 1, 2, 3
+#: Vectors a task multiplies at a time (working arrays then stay in cache).
+ROWS = 2048
+_PART = "model int, c int, dim int, v double, top double"
+#: Places beside the vector's dimensions (0 and up) in a partial sum's row.
+DIM_WEIGHT, DIM_LOSS = -1, -2
 
 
-def _step_fn(bc, m: float, k: int):
+def _weights(u: np.ndarray, m: float) -> np.ndarray:
+    return u * u if m == 2.0 else u ** m
+
+
+def _step_fn(models: list[tuple], first: bool):
+    """Partial sums of one step of every model, each given as (number, K, m, centroids, centroids before).
+
+    All centroids are one matrix, so a batch is multiplied once for all
+    models; a task puts out its sums once, after its last batch.
+    """
     def run(batches):
-        v_cur, v_prev, first = bc.value
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = _stack(pdf["embedding"])
-            if v_cur is None:                       # job 0: centroids from the init only
-                u = _stack(pdf["u0"])
-                loss = delta = 0.0
-            else:
-                d = _sqdist(x, v_cur)
-                u = _memb(d, m)
-                prev = _stack(pdf["u0"]) if first else _memb(_sqdist(x, v_prev), m)
-                um = u ** m
-                loss = float((um * d).sum())
-                delta = float(np.abs(u - prev).max())
-            um = u ** m
-            wx = um.T @ x                           # (K, D)
-            dd = x.shape[1]
-            out = [pd.DataFrame({"kind": KIND_WX, "c": np.repeat(np.arange(k), dd).astype(np.int32),
-                                 "dim": np.tile(np.arange(dd), k).astype(np.int32), "v": wx.ravel()}),
-                   pd.DataFrame({"kind": KIND_W, "c": np.arange(k, dtype=np.int32), "dim": 0, "v": um.sum(0)}),
-                   pd.DataFrame({"kind": [KIND_LOSS, KIND_DELTA], "c": 0, "dim": 0, "v": [loss, delta]})]
-            yield pd.concat(out, ignore_index=True).astype({"kind": np.int32, "c": np.int32, "dim": np.int32})
+        start = [v is None for _, _, _, v, _ in models]
+        now = None if all(start) else np.concatenate([v for _, _, _, v, _ in models])
+        before = None if first or now is None else np.concatenate([v for _, _, _, _, v in models])
+        sums = None
+        for batch in batches:
+            whole, u0_all = matrix(batch.column("embedding")), matrix(batch.column("u0")) if first else None
+            if sums is None and len(whole):
+                sums = [[np.zeros((k, whole.shape[1])), np.zeros(k), 0.0, 0.0] for _, k, _, _, _ in models]
+            for lo in range(0, len(whole), ROWS):
+                x = whole[lo:lo + ROWS]
+                d_now = None if now is None else _sqdist(x, now)
+                d_before = None if before is None else _sqdist(x, before)
+                at = 0
+                for (_, k, m, _, _), out in zip(models, sums):
+                    if first:
+                        u0 = u0_all[lo:lo + ROWS, :k]
+                        u0 = u0 / u0.sum(axis=1, keepdims=True)
+                    if d_now is None:
+                        um = _weights(u0, m)
+                    else:
+                        d = d_now[:, at:at + k]
+                        u = _memb(d, m)
+                        um = _weights(u, m)
+                        out[2] += float((um * d).sum())
+                        out[3] = max(out[3], float(np.abs(u - (u0 if first else _memb(d_before[:, at:at + k], m))).max()))
+                    out[0] += um.T @ x
+                    out[1] += um.sum(0)
+                    at += k
+        for (number, k, _, _, _), (wx, w, loss, moved) in zip(models, sums or []):
+            dims = wx.shape[1]
+            v = np.concatenate([wx.ravel(), w, [loss]])
+            yield pa.record_batch({
+                "model": pa.array(np.full(len(v), number), pa.int32()),
+                "c": pa.array(np.concatenate([np.repeat(np.arange(k), dims), np.arange(k), [0]]), pa.int32()),
+                "dim": pa.array(np.concatenate([np.tile(np.arange(dims), k), np.full(k, DIM_WEIGHT), [DIM_LOSS]]), pa.int32()),
+                "v": pa.array(v), "top": pa.array(np.append(np.zeros(len(v) - 1), moved))})
     return run
 
 
@@ -124,69 +151,75 @@ class FcmModel:
 def fit(spark: SparkSession, vectors: DataFrame, k: int = DEFAULT_K, m: float = DEFAULT_M,
         max_iter: int = DEFAULT_MAX_ITER, tol: float = DEFAULT_TOL, seed: int = DEFAULT_SEED,
         checkpoint: bool = True) -> FcmModel:
-    """Fit on ``vectors(doc_id LONG, embedding ARRAY)``.
+    """Fit on ``vectors(doc_id LONG, embedding ARRAY)``; see ``fit_many``."""
+    return fit_many(spark, vectors, [(k, m)], max_iter, tol, seed, checkpoint)[0]
+
+
+def fit_many(spark: SparkSession, vectors: DataFrame, settings: list[tuple[int, float]], max_iter: int = DEFAULT_MAX_ITER,
+             tol: float = DEFAULT_TOL, seed: int = DEFAULT_SEED, checkpoint: bool = True) -> list[FcmModel]:
+    """E6 for several (K, m) at once: a step of all of them is one pass over the vectors.
 
     The input is written once to the shared checkpoint folder (lineage cut,
-    survives executor loss); each iteration is one job over it.  The kept
-    centroids are those *before* the last membership update, ``n_iter`` is
-    the iteration at which ``max|U - U_old| < tol`` (or ``max_iter``)."""
+    survives executor loss); each step is one job over it, whose partial sums
+    are keyed by model.  A model that has stopped takes no part in later
+    passes, so a sweep takes as many jobs as its longest fit has steps.  The
+    kept centroids are those *before* the last membership update, ``n_iter``
+    is the step at which ``max|U - U_old| < tol`` (or ``max_iter``).
+
+    The raw start of a cluster depends on the seed, the id and the cluster's
+    number only, so every K takes a prefix of one array.
+    """
     ship_package(spark)
     x = vectors.select("doc_id", "embedding")
     if checkpoint:
         x = x.checkpoint(eager=True)
-    sc = spark.sparkContext
-
-    def run_job(v_cur, v_prev, first):
-        bc = sc.broadcast((v_cur, v_prev, first))
-        rows = x.withColumn("u0", init_membership(F.col("doc_id"), k, seed)) if first else x  # the start is needed twice
-        parts = (rows.mapInPandas(_step_fn(bc, m, k), _PART)
-                 .groupBy("kind", "c", "dim").agg(F.sum("v").alias("s"), F.max("v").alias("mx"))
-                 .collect())                         # K*D + K + 2 rows
-        bc.unpersist()
-        dim = max([r["dim"] for r in parts if r["kind"] == KIND_WX] + [-1]) + 1
-        wx = np.zeros((k, dim))
-        w = np.zeros(k)
-        loss = delta = 0.0
-        for r in parts:
-            if r["kind"] == KIND_WX:
-                wx[r["c"], r["dim"]] = r["s"]
-            elif r["kind"] == KIND_W:
-                w[r["c"]] = r["s"]
-            elif r["kind"] == KIND_LOSS:
-                loss = r["s"]
-            else:
-                delta = r["mx"]
-        return wx / w[:, None], loss, delta
-
-    v_next, _, _ = run_job(None, None, True)        # V_1 from the init
-    model = FcmModel(centroids=v_next, m=m)
-    v_prev = None
+    widest = max((k for k, _ in settings), default=1)
+    started = x.select("embedding", init_membership(F.col("doc_id"), widest, seed).alias("u0"))
+
+    def step(live: list[int], now: dict, before: dict, first: bool) -> dict:
+        models = [(i, *settings[i], now.get(i), before.get(i)) for i in live]
+        rows = (started if first else x.select("embedding")).mapInArrow(_step_fn(models, first), _PART)
+        sums = rows.groupBy("model", "c", "dim").agg(F.sum("v").alias("v"), F.max("top").alias("top")).toArrow()  # K x (D + 1) + 1 rows a model
+        number, c, dim, v, top = (sums.column(name).to_numpy() for name in ("model", "c", "dim", "v", "top"))
+        out = {}
+        for i in live:
+            k, own = settings[i][0], number == i
+            inside, weight, loss = own & (dim >= 0), own & (dim == DIM_WEIGHT), own & (dim == DIM_LOSS)
+            wx, w = np.zeros((k, int(dim[inside].max(initial=-1)) + 1)), np.zeros(k)
+            wx[c[inside], dim[inside]] = v[inside]
+            w[c[weight]] = v[weight]
+            out[i] = (wx / w[:, None], float(v[loss].sum()), float(top[loss].max(initial=0.0)))
+        return out
+
+    live = list(range(len(settings)))
+    after = {i: r[0] for i, r in step(live, {}, {}, True).items()} if live else {}  # the first centroids, from the start alone
+    models = [FcmModel(centroids=after[i], m=settings[i][1]) for i in live]
+    before: dict = {}
     for t in range(1, max_iter + 1):
-        v_cur = v_next
-        v_next, loss, delta = run_job(v_cur, v_prev, t == 1)
-        model.loss_history.append(loss)
-        model.delta_history.append(delta)
-        model.centroids = v_cur
-        model.n_iter = t
-        if delta < tol:
-            model.converged = True
+        if not live:
             break
-        v_prev = v_cur
-    return model
+        now = after
+        found = step(live, now, before, t == 1)
+        for i in live:
+            after_i, loss, moved = found[i]
+            models[i].loss_history.append(loss)
+            models[i].delta_history.append(moved)
+            models[i].centroids, models[i].n_iter, models[i].converged = now[i], t, moved < tol
+        live = [i for i in live if not models[i].converged]
+        before, after = now, {i: found[i][0] for i in live}
+    return models
 
 
 # ----------------------------------------------------------------- E7 predict
 
-def _predict_fn(bc, m: float, keep: list[str]):
+def _predict_fn(v: np.ndarray, m: float, keep: list[str]):
     def run(batches):
-        v = bc.value
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            u = _memb(_sqdist(_stack(pdf["embedding"]), v), m)
-            out = pdf[keep].copy()
-            out["membership"] = list(u)
-            yield out
+        for batch in batches:
+            x = matrix(batch.column("embedding"))
+            u = [_memb(_sqdist(x[lo:lo + ROWS], v), m) for lo in range(0, len(x), ROWS)]
+            flat = pa.array(np.concatenate(u).ravel() if u else np.zeros(0))
+            rows = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * len(v), pa.int32()), flat)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), rows], names=[*keep, "membership"])
     return run
 
 
@@ -201,11 +234,10 @@ def predict(spark: SparkSession, model: FcmModel | None, df: DataFrame, k: int =
         from lodestar.functions.vectors import uniform_membership
         return df.select(*keep, uniform_membership(k).alias("membership"))
     ship_package(spark)
-    bc = spark.sparkContext.broadcast(model.centroids)
     schema = T.StructType([df.schema[c] for c in keep] +
                           [T.StructField("membership", T.ArrayType(T.DoubleType()))])
     cols = list(dict.fromkeys(keep + ["embedding"]))
-    return df.select(*cols).mapInPandas(_predict_fn(bc, model.m, keep), schema)
+    return df.select(*cols).mapInArrow(_predict_fn(model.centroids, model.m, keep), schema)
 
 
 def predict_catalyst(model: FcmModel, emb_col="embedding"):

@@ -227,9 +227,9 @@ def f5_fuzziness_sweep(spark, sf):
                                                              "entropy_over_ln_k")], "n_iter")
 
 
-#: The sweeps as shipped; the fit's own defaults are m = 2, K = 15, stop at max|dU| < 1e-4, at most 150 steps.
+#: The sweeps as shipped: m = 2, K = 15, stop at max|dU| < 1e-4; a sweep's fit has at most 100 steps (a single fit 150).
 SHIPPED_K_GRID = list(range(8, 22))
-SHIPPED_K, SHIPPED_M, SHIPPED_TOL, SHIPPED_STEPS = 15, 2.0, 1e-4, 150
+SHIPPED_K, SHIPPED_M, SHIPPED_TOL, SHIPPED_STEPS = 15, 2.0, 1e-4, 100
 
 
 @query("f4_k_sweep_shipped")
