@@ -1,20 +1,19 @@
 """Turning texts into unit vectors.
 
 Built-in encoder: signed feature hashing of lower-cased tokens, one small
-Arrow-batched helper per batch (tokenise, md5 each distinct token of the
-batch once, ``np.bincount`` scatter).  No shuffle: each row's vector is
-computed where the row lives.  ``token_codes``/``hashed_counts_catalyst``
+Arrow-batched helper per batch (cut the joined bytes into tokens, md5 each
+distinct token once, ``np.bincount`` scatter).  No shuffle: each row's vector
+is computed where the row lives.  ``token_codes``/``hashed_counts_catalyst``
 state the same rule with native expressions (used in tests).
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
 from typing import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,39 +40,62 @@ def token_codes(text_col, dim: int = HASH_DIM) -> Column:
     return F.transform(toks, code)
 
 
-_SPLIT = re.compile(TOKEN_SPLIT)
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, 0x09, 0x0A, 0x0C, 0x0D]] = True
 
 
-def _hash_batch(texts: pd.Series, dim: int, normalise: bool) -> pd.Series:
-    """Signed hashed counts for a batch of texts.  Each distinct token of the
+def _tokens(texts: list[str]) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """The text number and the token of every token of a batch, cut on the batch's joined bytes."""
+    joined = pa.array(texts, pa.large_string())
+    offsets = np.frombuffer(joined.buffers()[1], dtype=np.int64)
+    raw = np.frombuffer(joined.buffers()[2] or b"", dtype=np.uint8)[:offsets[-1]]
+    inside = ~_SPACE[raw]
+    starts = inside.copy()
+    starts[1:] &= ~inside[:-1]
+    edges = offsets[1:-1][offsets[1:-1] < len(raw)]
+    starts[edges] = inside[edges]  # a text's first byte starts a token, whatever the text before ends with
+    start = np.flatnonzero(starts)
+    kept = np.cumsum(inside, dtype=np.int64)
+    at = np.append(kept[start] - 1, kept[-1] if len(kept) else 0)
+    tokens = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(at), pa.py_buffer(raw[inside])])
+    return np.searchsorted(offsets, start, side="right") - 1, tokens.dictionary_encode()
+
+
+def _hash_batch(texts: list, dim: int, normalise: bool) -> np.ndarray:
+    """Signed hashed counts of a batch of texts.  Each distinct token of the
     batch is hashed once (token frequencies are heavily skewed), then one
     ``bincount`` scatters the whole batch."""
-    toks = [[w for w in _SPLIT.split(t.lower()) if w] if isinstance(t, str) else [] for t in texts]
-    n = len(toks)
-    lens = np.fromiter((len(x) for x in toks), dtype=np.int64, count=n)
-    flat = [w for x in toks for w in x]
-    if flat:
-        codes, uniq = pd.factorize(pd.Series(flat, dtype=object))
-        hx = [hashlib.md5(u.encode("utf-8")).hexdigest() for u in uniq]
-        bucket = np.fromiter((int(h[:8], 16) % dim for h in hx), dtype=np.int64, count=len(hx))
-        sign = np.fromiter((1.0 - 2.0 * (int(h[8], 16) & 1) for h in hx), dtype=np.float64, count=len(hx))
-        row = np.repeat(np.arange(n), lens)
-        dense = np.bincount(row * dim + bucket[codes], weights=sign[codes],
-                            minlength=n * dim).reshape(n, dim)
-    else:
-        dense = np.zeros((n, dim))
+    row, tokens = _tokens([t.lower() if t is not None else "" for t in texts])
+    digest = b"".join(hashlib.md5(t).digest()[:5] for t in tokens.dictionary.to_pylist())
+    code = np.frombuffer(digest, dtype=np.uint8).reshape(-1, 5).astype(np.int64)
+    bucket = (code[:, 0] << 24 | code[:, 1] << 16 | code[:, 2] << 8 | code[:, 3]) % dim
+    sign = 1.0 - 2.0 * (code[:, 4] >> 4 & 1)
+    which = tokens.indices.to_numpy()
+    dense = np.bincount(row * dim + bucket[which], weights=sign[which], minlength=len(texts) * dim).astype(np.float64).reshape(len(texts), dim)
     if normalise:
         norm = np.sqrt((dense * dense).sum(axis=1, keepdims=True))
         dense = np.where(norm > NORM_EPS, dense / np.where(norm > NORM_EPS, norm, 1.0), dense)
-    return pd.Series(list(dense))
+    return dense
+
+
+#: Characters of texts that are hashed together; a longer text is hashed alone.
+BATCH_CHARS = 4 << 20
 
 
 def _encoder_udf(dim: int, normalise: bool):
     ship_package()
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def hashed(texts: pd.Series) -> pd.Series:
-        return _hash_batch(texts, dim, normalise)
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def hashed(texts: pa.Array) -> pa.Array:
+        rows = texts.to_pylist()
+        size = np.cumsum([len(t or "") for t in rows], dtype=np.int64)
+        parts, at = [], 0
+        while at < len(rows):
+            to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + BATCH_CHARS, side="right")))
+            parts.append(_hash_batch(rows[at:to], dim, normalise).ravel())
+            at = to
+        flat = np.concatenate(parts) if parts else np.zeros(0)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * dim, pa.int32()), pa.array(flat))
     return hashed
 
 

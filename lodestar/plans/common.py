@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lodestar.functions import text as tx
 from lodestar.operators.corpus import newsgroup_posts, prepare_corpus
 from lodestar.operators.encode import hashed_vector
-from lodestar.session import scratch_path
+from lodestar.session import scratch_path, spread
 from lodestar.sources.tables import categories, read_table, scan_corpus, write_table
 
 
@@ -36,7 +36,7 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prepared(spark: SparkSession, sf_dir: str, max_chars: int | None) -> DataFrame:
     cats = categories(read_table(spark, sf_dir, "documents"))
-    return prepare_corpus(scan_corpus(spark, sf_dir, cats=cats), cats, max_chars)
+    return prepare_corpus(spread(scan_corpus(spark, sf_dir, cats=cats)), cats, max_chars)
 
 
 def corpus_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

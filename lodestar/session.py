@@ -77,6 +77,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     return df, False
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least one partition a core.
+
+    A small table often comes as one file with one row group, which one task
+    would read and work off alone; a table with more partitions than cores
+    stays where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 _SHIPPED: set[str] = set()
 
 
