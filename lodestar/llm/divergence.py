@@ -9,8 +9,10 @@ counts; the cell times ``f`` of its two counts is its part of the pair's
 value.  The bitset of the terms that a group doesn't use is the complement of
 all its others.
 
-The counts are two grouped counts with map-side partial sums (words, and
-distinct words a document).  A block's bitsets meet in tasks of two bands of
+Words are counted a slice of documents at a time, as one row per language and
+term with its documents and its uses by source; these rows are written, the
+document counts are summed from them, and only the rows of kept terms are
+opened up and summed by source.  A block's bitsets meet in tasks of two bands of
 ``BAND`` groups, so a task's size depends on neither the vocabulary nor the
 number of sources; one language may hold all rows.  Pairs of sources are
 the result itself.
@@ -28,11 +30,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.llm.shared import written
+from lodestar.llm.shared import match, written
+from lodestar.llm.wordhash import slices
 from lodestar.session import bounded_broadcast
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Bytes of a term: ASCII letters and all beyond ASCII; A-Z are lowered.
+IN_TERM = np.zeros(256, dtype=bool)
+IN_TERM[0x41:0x5B] = IN_TERM[0x61:0x7B] = IN_TERM[0x80:] = True
+LOWERED = np.arange(256, dtype=np.uint8)
+LOWERED[0x41:0x5B] += 32
+#: Joined bytes of documents whose words are counted together; a longer text is counted alone.
+SLICE_BYTES = 8 << 20
 #: Terms a block of bitsets, and groups a band.
 BLOCK = 1024
 BAND = 32
@@ -48,18 +56,63 @@ def share(n, total, terms):
     return F.call_function("div", top.cast(wide), below) + F.lit(1).cast("long")
 
 
+def term_array(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """The text number and the term of every term of a batch of non-null texts."""
+    texts = texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[offsets[0]:offsets[-1]]
+    offsets = offsets - offsets[0]
+    inside = IN_TERM[raw]
+    starts = inside.copy()
+    starts[1:] &= ~inside[:-1]
+    edges = offsets[1:-1][offsets[1:-1] < len(raw)]
+    starts[edges] = inside[edges]  # a text's first byte starts a term, whatever the text before ends with
+    start = np.flatnonzero(starts)
+    kept = np.cumsum(inside, dtype=np.int64)
+    at = np.append(kept[start] - 1, kept[-1] if len(kept) else 0)
+    terms = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(at), pa.py_buffer(LOWERED[raw[inside]])])
+    return np.searchsorted(offsets, start, side="right") - 1, terms.dictionary_encode()
+
+
+def _counted(batches):
+    """One row per language and term of a slice: its documents and its uses by source."""
+    for b in batches:
+        for at, n in slices(b.column("text"), SLICE_BYTES):
+            part = b.slice(at, n)
+            text, terms = term_array(part.column("text"))
+            if not len(text):
+                continue
+            lang, source = part.column("lang").dictionary_encode(), part.column("source").dictionary_encode()
+            of_lang, of_source = (x.indices.to_numpy().astype(np.int64) for x in (lang, source))
+            known, sources = len(terms.dictionary), len(source.dictionary)
+            pair, uses = np.unique(text * known + terms.indices.to_numpy(), return_counts=True)
+            doc, term = pair // known, pair % known
+            key = (of_lang[doc] * known + term) * sources + of_source[doc]
+            by = np.argsort(key, kind="stable")
+            key, uses = key[by], uses[by]
+            first = np.flatnonzero(np.diff(key, prepend=-1))
+            used, docs, key = np.add.reduceat(uses, first), np.diff(np.append(first, len(key))), key[first]
+            row = np.flatnonzero(np.diff(key // sources, prepend=-1))
+            entries = pa.StructArray.from_arrays([source.dictionary.take(pa.array(key % sources)), pa.array(used.astype(np.int64))], names=["source", "n"])
+            own = key[row] // sources
+            yield pa.record_batch({
+                "lang": lang.dictionary.take(pa.array(own // known)).cast(pa.string()),
+                "term": terms.dictionary.take(pa.array(own % known)).cast(pa.large_string()).cast(pa.string()),
+                "docs": pa.array(np.add.reduceat(docs, row).astype(np.int64)),
+                "uses": pa.ListArray.from_arrays(pa.array(np.append(row, len(key)), pa.int32()), entries)})
+
+
 def _grouped(docs: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Written tables: groups with their sums, kept terms with theirs, and the counts above 0 of groups."""
-    words = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
-                        F.regexp_extract_all(F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, LOWER), F.lit(TERM), F.lit(0)).alias("words"))
-    kept = (words.select("lang", F.explode(F.array_distinct("words")).alias("term")).groupBy("lang", "term").agg(F.count(F.lit(1)).alias("docs"))
-            .filter(F.col("docs") >= min_docs).select("lang", "term"))
-    counts = written(words.select("lang", "source", F.explode("words").alias("term")).groupBy("lang", "source", "term").agg(F.count(F.lit(1)).alias("n"))
-                     .join(kept, ["lang", "term"], "left_semi"), "divergence-counts")
+    plain = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
+    found = written(plain.mapInArrow(_counted, "lang string, term string, docs long, uses array<struct<source: string, n: long>>"), "divergence-found")
+    kept = written(found.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs).select("lang", "term"), "divergence-kept")
+    uses = match(found.select("lang", "term", "uses"), kept, ["lang", "term"], "left_semi").select("lang", "term", F.inline("uses"))
+    counts = written(uses.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "divergence-counts")
     terms = written(counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n")), "divergence-terms")
     sums = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("lang_n").alias("lang_total"))
     own = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    every = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source")).distinct()
+    every = plain.select("lang", "source").distinct()
     groups = (every.join(own, ["lang", "source"], "left").join(sums, "lang", "left").na.fill(0, ["total", "terms", "lang_total"])
               .withColumn("number", F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1)
               .withColumn("bands", F.ceil(F.count(F.lit(1)).over(Window.partitionBy("lang")) / BAND).cast("int")))
