@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestar.functions import vectors as vx
-from lodestar.operators import fcm, search
+from lodestar.operators import fcm, quantised, search
 from lodestar.plans import common, model
 from lodestar.plans import sqlfrag as S
 from lodestar.plans.registry import query
@@ -210,6 +210,28 @@ def d4_ivf_recall(spark, sf):
     return j.groupBy("query_id").agg(F.round(F.count("found") / 5.0, 4).alias("recall_at_5"))
 
 
+@query("d4_quantised_recall")
+def d4_quantised_recall(spark, sf):
+    """Recall of the five nearest over quantised lists against the exact ones, and the share of rows whose codes a query looked at.
+
+    No SQL: the lists are k-means centres of a seeded sample."""
+    exact = _hits(spark, sf)[0].select("query_id", "doc_id")
+    index = quantised.build(spark, common.corpus_vectors(spark, sf).select("doc_id", "embedding"))
+    found = quantised.search(spark, common.benchmark_queries(spark, sf), index)
+    j = exact.join(found.select("query_id", "doc_id", F.lit(1).alias("found")), ["query_id", "doc_id"], "left")
+    recall = j.groupBy("query_id").agg(F.round(F.count("found") / F.count(F.lit(1)), 4).alias("recall_at_5"))
+    seen = found.groupBy("query_id").agg(F.round(F.max(F.col("n_seen") / F.col("n_rows")), 4).alias("share_seen"))
+    return recall.join(seen, "query_id", "left")
+
+
+@query("d4_quantised_topk")
+def d4_quantised_topk(spark, sf):
+    """The five nearest that the quantised lists give, exactly scored."""
+    index = quantised.build(spark, common.corpus_vectors(spark, sf).select("doc_id", "embedding"))
+    return (quantised.search(spark, common.benchmark_queries(spark, sf), index)
+            .select("query_id", "rank", "doc_id", F.round("similarity", 4).alias("similarity")))
+
+
 @query("e6_fit_shipped")
 def e6_fit_shipped(spark, sf):
     """The fit with its own defaults: K = 15, m = 2, stop at max|dU| < 1e-4, at
