@@ -188,7 +188,7 @@ def _count(languages: list[str]):
         for kind, table in (("triple", triples), ("script", scripts)):
             for j in range(k):
                 at = np.flatnonzero(table[j])
-                yield pa.record_batch({"kind": pa.array([kind] * len(at)), "lang": pa.array(np.full(len(at), j, np.int64)),
+                yield pa.record_batch({"kind": pa.array([kind] * len(at), pa.string()), "lang": pa.array(np.full(len(at), j, np.int64)),
                                        "at": pa.array(at.astype(np.int64)), "n": pa.array(table[j][at])})
     return run
 

@@ -93,3 +93,15 @@ def test_letters_are_those_of_unicode():
     text = "aé ß 漢 க் ក០ ሀ ߀ߊ ܐ ހ Ⴀ ᠠ Ａ ｱ 𐌰 𠀀 × 1 ٣ ، ̈"
     batch = Batch(pa.array([text]))
     assert batch.letters.tolist() == [sum(unicodedata.category(c)[0] == "L" for c in w) for w in text.lower().split()]
+
+
+def test_partitions_that_lack_a_language(spark, make_docs):
+    """Two languages over eight partitions that hold one of them each (adaptive coalescing off)."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        data = [(i, sentence("aa" if i < 20 else "bb", i, 12), "aa" if i < 20 else "bb", None) for i in range(40)]
+        docs = make_docs(data, partitions=8).repartitionByRange(8, "doc_id")
+        got = {r["doc_id"]: r["lang_pred"] for r in identify(docs).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(got[r[0]] == r[2] for r in data) >= 39
