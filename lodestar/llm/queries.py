@@ -165,7 +165,49 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_documents(table(spark, sf_dir, "documents"))
 
 
-@query("op13_repair_conversations")
+#: Damage by crc32 (its table from the rule), faults, and the least (cost, letters) per state, row after row.  Fixed values: the four states' insertions.
+OP13_SQL = r"""WITH RECURSIVE t AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+  lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))),
+r AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' ')) AS key FROM conversations),
+w AS (SELECT r.*, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda c: ascii(c)::BIGINT)),
+  lambda a, b: xor(t.t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % 20 AS draw FROM r, t),
+d AS (SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+  CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(CASE draw WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM w),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+  lag(role[1]) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) || role[1] AS pair,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM d),
+f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+  WHEN regexp_matches(text, '[^\x20\x09-\x0D.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM o),
+ins(state, after, cost, letters, pieces) AS (VALUES (0, 0, 0, '', []::VARCHAR[]), (0, 2, 5, 'I', ['user:']), (0, 3, 10, 'II', ['user:', 'assistant:']),
+  (1, 1, 0, '', []), (1, 2, 5, 'I', ['user:']), (1, 3, 10, 'II', ['user:', 'assistant:']), (2, 2, 0, '', []), (2, 3, 5, 'I', ['assistant:']),
+  (3, 3, 0, '', []), (3, 2, 5, 'I', ['user:'])),
+c AS (SELECT DISTINCT conv_id FROM conversations),
+p AS (SELECT conv_id, 0::BIGINT AS i, 0 AS state, {'cost': 0::BIGINT, 'audit': '', 'kept': []::VARCHAR[]} AS best FROM c
+  UNION ALL
+  SELECT conv_id, i, state, min(best) AS best FROM (
+    SELECT p.conv_id, f.i, CASE op WHEN 'D' THEN after WHEN 'K' THEN CASE role[1] WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END ELSE CASE after WHEN 2 THEN 3 ELSE 2 END END AS state,
+      {'cost': p.best.cost + ins.cost + CASE op WHEN 'D' THEN 2 WHEN 'K' THEN 0 ELSE 1 END + CASE WHEN op <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END,
+       'audit': p.best.audit || ins.letters || op,
+       'kept': p.best.kept || ins.pieces || CASE op WHEN 'D' THEN [] WHEN 'K' THEN [role || ':' || text] ELSE [CASE after WHEN 2 THEN 'assistant:' ELSE 'user:' END || text] END} AS best
+    FROM p JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1 JOIN ins ON ins.state = p.state CROSS JOIN (VALUES ('D'), ('K'), ('R')) x(op)
+    WHERE op = 'D' OR fault NOT IN ('blank', 'duplicate') AND (op = 'R' OR role[1] = 's' AND after = 0 OR role[1] = 'u' AND after IN (0, 1, 3) OR role[1] = 'a' AND after = 2))
+  GROUP BY conv_id, i, state),
+e AS (SELECT p.conv_id, min({'cost': p.best.cost + ins.cost, 'audit': p.best.audit || ins.letters, 'kept': p.best.kept || ins.pieces}) AS best
+  FROM p JOIN ins ON ins.state = p.state JOIN (SELECT c.conv_id, count(f.i) AS n FROM c LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM c.conv_id GROUP BY c.conv_id) z
+  ON z.conv_id IS NOT DISTINCT FROM p.conv_id AND z.n = p.i WHERE after IN (0, 3) GROUP BY p.conv_id),
+s AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+  count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+  count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT e.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(e.best.cost AS BIGINT) AS cost,
+  e.best.audit AS audit, sha256(array_to_string(e.best.kept, chr(10))) AS repaired_sha256
+FROM e LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
+@query("op13_repair_conversations", OP13_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damage, faults and cheapest repair of every conversation."""
     from lodestar.llm.repair import repair_conversations
