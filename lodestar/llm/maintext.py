@@ -51,10 +51,12 @@ TOP_NAMED = {"header", "topbar"}
 #: Elements that pages use for anything; what labelled pages use them for says little about others.
 GENERIC = {"div", "section", "span", "center", "table", "tbody", "tr", "td"}
 HEADINGS = {"h1", "h2", "h3"}
+#: Words that the mark of an article is worth: text outside of it does not make up for leaving it.
+MARKED = 1e6
 #: Words that a telling class or role inside of an article takes from its element; what is left with none is left out.
 NAME_COST = 30.0
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^'"<>]++|"[^"]*+"|'[^']*+')*+)>""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+(?:"[^"]*+"(?=[\s/>])|'[^']*+'(?=[\s/>])|"[^"<>]*+"|'[^'<>]*+')|[^<>])*+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAMES = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -101,6 +103,8 @@ def parse(page: str) -> list[Item]:
     marks: dict[int, int] = {}  # never-content elements that go by their names only: tag index -> end index
     judged: dict[int, int] = {}  # elements with telling names inside of an article: tag index -> end index
     at = 0
+    marked = 0  # open elements that mark an article
+    opened: dict[str, int] = {}  # open elements by name
 
     def state():
         return stack[-1][1] if stack else False
@@ -109,10 +113,13 @@ def parse(page: str) -> list[Item]:
         return stack[-1][0] if stack else ""
 
     def within():
-        return any(s[0] in CONTENT for s in stack)
+        return marked > 0
 
     def ends(entries):
-        for _, _, k in entries:
+        nonlocal marked
+        for name, _, k in entries:
+            opened[name] -= 1
+            marked -= name in CONTENT
             if k in judged:
                 judged[k] = len(items)
 
@@ -130,14 +137,15 @@ def parse(page: str) -> list[Item]:
             continue
         name = name.lower()
         if m[1]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+            depth = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name) if opened.get(name) else None
             inside = stack[depth][1] if depth is not None else state()
             if depth is not None:
                 for _, _, k in stack[depth:]:
                     if k in marks:
                         marks[k] = len(items)
-                ends(stack[depth:])
+                gone = stack[depth:]
                 del stack[depth:]
+                ends(gone)
             items.append(Item(name, True, "", inside, around(), within()))
             continue
         # an element that its parent's next child closes
@@ -167,6 +175,8 @@ def parse(page: str) -> list[Item]:
             at = pos = end.end() if end else len(page)
         elif name not in VOID and not attributes.rstrip().endswith("/"):
             stack.append((name, never, len(items) - 1))
+            opened[name] = opened.get(name, 0) + 1
+            marked += name in CONTENT
     text(page[at:])
     for k, end in marks.items():
         end = len(items) if end < 0 else end
@@ -254,29 +264,46 @@ def _default(name: str) -> float:
     return -20.0 if name in SECTION else -1.0 if name == "a" else -0.25
 
 
+def scores(items: list[Item], weight: dict[str, float]) -> list[tuple[int, float]]:
+    """(item, score) in page order: words above 0, tags below; a marked article is worth more than all words, and leaving or entering it costs that."""
+    out: list[tuple[int, float]] = []
+    for i, x in enumerate(items):
+        if x.name is None:
+            if not x.never and (n := len(x.text.split())):
+                out.append((i, n * weight.get(x.around, 0.25 if x.around == "a" else 1.0)))
+            continue
+        w = weight.get("<" + x.name, _default(x.name))
+        if x.within and x.name not in CONTENT:  # menus, notes and the like that an article holds don't end it
+            w = max(w, -0.25)
+        if x.name in CONTENT and not x.never and not x.within:
+            out += [(i, w - MARKED)] if x.close else [(i, -MARKED), (i, MARKED)]
+            continue
+        out.append((i, w / 10 if x.never and x.name not in SECTION else w))
+        if x.never and not x.close and not x.within and not (i and items[i - 1].never):
+            # a menu, form or note stands rather between than within articles; an advert stands anywhere
+            out.append((i, -3.0 if x.name in NEVER or x.name in SECTION else -0.5))
+    return out
+
+
+def best_run(items: list[Item], scored: list[tuple[int, float]]) -> tuple[float, tuple[int, int] | None]:
+    """Sum, first and last item of the run of the largest sum that ends with a word, by one scan."""
+    best, run, total, start = 0.0, None, 0.0, 0
+    for i, score in scored:
+        if score > 0 and total <= 0:
+            total, start = 0.0, i
+        total += score
+        if score > 0 and total > best and items[i].name is None:
+            best, run = total, (start, i)
+    return best, run
+
+
 def main_text(page: str | None, weight: dict[str, float]) -> str:
     """The article's blocks, joined by one newline; empty if there is none."""
     items = parse(page or "")
-    best, best_run, total, start = 0.0, None, 0.0, 0
-    for i, x in enumerate(items):
-        if x.name is None:
-            if x.never or not (n := len(x.text.split())):
-                continue
-            if total <= 0:
-                total, start = 0.0, i
-            total += n * weight.get(x.around, 0.25 if x.around == "a" else 1.0)
-            if total > best:
-                best, best_run = total, (start, i)
-        else:
-            w = weight.get("<" + x.name, _default(x.name))
-            if x.within and x.name not in CONTENT:  # menus, notes and the like that an article holds don't end it
-                w = max(w, -0.25)
-            total += w / 10 if x.never and x.name not in SECTION else w
-            if x.never and not x.close and not x.within and not (i and items[i - 1].never):
-                total -= 3.0  # an element that is left out stands rather between than within articles
-    if best_run is None:
+    _, best_at = best_run(items, scores(items, weight))
+    if best_at is None:
         return ""
-    lo, hi = best_run
+    lo, hi = best_at
     # whole blocks: the run's first and last block may hold inline tags that cost more than a word gains
     while lo > 0 and not (items[lo - 1].name in BLOCK):
         lo -= 1

@@ -90,3 +90,58 @@ def test_names_inside_of_an_article():
     got = main_text(page, {}).split("\n")
     assert got == ["Title", say("intro", 60), "Search and rescue", say("rescue", 50), "A form of art", say("talk", 12), say("related", 9), say("long", 80),
                    say("after", 20), f"Let x=1 be the root {say('end', 20)}"]
+
+
+def test_best_run_equals_all_runs():
+    """The scan's sum is the largest of all runs that end with a word, on random pages with and without marked articles."""
+    import random
+
+    from lodestar.llm.maintext import best_run, parse, scores
+    r = random.Random(12)
+    for _ in range(300):
+        page, opened = [], []
+        for _ in range(r.randrange(1, 30)):
+            if opened and r.random() < 0.4:
+                page.append(f"</{opened.pop()}>")
+            elif r.random() < 0.5:
+                opened.append(r.choice(["p", "div", "nav", "b", "li", "article", "section", "aside", "h2"]))
+                page.append(f"<{opened[-1]}{r.choice(['', '', ' class=ad'])}>")
+            else:
+                page.append("word " * r.randrange(1, 8))
+        items = parse("".join(page))
+        scored = scores(items, {"<p": -0.4, "p": 0.8, "<div": -1.5, "<nav": -12.0})
+        sums = [0.0] + [sum(s for _, s in scored[a:b + 1]) for b in range(len(scored)) for a in range(b + 1)
+                        if scored[b][1] > 0 and items[scored[b][0]].name is None]
+        best, run = best_run(items, scored)
+        assert abs(best - max(sums)) < 1e-6 and (run is None) == (max(sums) <= 0)
+
+
+def test_remarks_after_a_marked_article_and_boxes_beside_it():
+    from lodestar.llm.maintext import main_text
+    article = "<article><p>" + "word " * 10 + "</p></article>"
+    remarks = "<h2>4 responses</h2><ol>" + "".join(f"<li>remark {i} says {'much ' * 30}</li>" for i in range(4)) + "</ol>"
+    for page in (article + remarks, "<div>" + "box " * 70 + "</div>" + article, remarks + article + remarks):
+        assert main_text(page, {}) == ("word " * 10).strip()
+    assert main_text("<main></main><p>" + "outside " * 20 + "</p>", {}) == ("outside " * 20).strip()
+
+
+def test_short_paragraph_after_an_advert():
+    from lodestar.llm.maintext import main_text
+    page = "<p>" + "text " * 30 + "</p><div class=ad>buy now</div><p>The end.</p>"
+    assert main_text(page, {}) == ("text " * 30).strip() + "\nThe end."
+
+
+def test_stray_quotes_do_not_stop_a_tag():
+    from lodestar.llm.maintext import main_text
+    page = "<article><p>see <img alt=Bob's src=x> this and <a href='x>here</a> it's fine <b title=\"a > b <i>\">bold</b> <i title='it'>x</i></p></article>"
+    assert main_text(page, {}) == "see this and here it's fine bold x"
+
+
+def test_deep_nesting_is_linear():
+    import time
+
+    from lodestar.llm.maintext import main_text
+    at = time.time()
+    for page in ("<div>" * 50_000 + "x " * 30 + "</div>" * 50_000, "<b>" * 50_000 + "x " * 30 + "</i>" * 50_000, "<p a=\"" * 50_000 + "x " * 30):
+        main_text(page, {})
+    assert time.time() - at < 20
