@@ -134,6 +134,9 @@ class FcmModel:
     loss_history: list = field(default_factory=list)
     delta_history: list = field(default_factory=list)
     converged: bool = False
+    max_iter: int = DEFAULT_MAX_ITER
+    tol: float = DEFAULT_TOL
+    seed: int = DEFAULT_SEED
 
     @property
     def k(self) -> int:
@@ -193,7 +196,7 @@ def fit_many(spark: SparkSession, vectors: DataFrame, settings: list[tuple[int,
 
     live = list(range(len(settings)))
     after = {i: r[0] for i, r in step(live, {}, {}, True).items()} if live else {}  # the first centroids, from the start alone
-    models = [FcmModel(centroids=after[i], m=settings[i][1]) for i in live]
+    models = [FcmModel(centroids=after[i], m=settings[i][1], max_iter=max_iter, tol=tol, seed=seed) for i in live]
     before: dict = {}
     for t in range(1, max_iter + 1):
         if not live:
@@ -292,6 +295,7 @@ def sq_dists_long(vecs: DataFrame, cents: DataFrame) -> DataFrame:
 def save_model(spark: SparkSession, model: FcmModel, path: str) -> None:
     """Centroids with the fit's parameters and record, one row per cluster."""
     (model.centroid_frame(spark).withColumn("m", F.lit(float(model.m))).withColumn("n_iter", F.lit(int(model.n_iter)))
+     .withColumn("max_iter", F.lit(int(model.max_iter))).withColumn("tol", F.lit(float(model.tol))).withColumn("seed", F.lit(int(model.seed)))
      .withColumn("converged", F.lit(bool(model.converged)))
      .withColumn("loss", F.array(*[F.lit(float(x)) for x in model.loss_history]).cast("array<double>"))
      .withColumn("delta", F.array(*[F.lit(float(x)) for x in model.delta_history]).cast("array<double>"))
@@ -302,7 +306,8 @@ def load_model(spark: SparkSession, path: str) -> FcmModel:
     rows = sorted(spark.read.parquet(path).collect(), key=lambda r: r["cluster"])  # K rows
     first = rows[0]
     return FcmModel(centroids=np.array([r["centroid"] for r in rows], dtype=np.float64), m=first["m"], n_iter=first["n_iter"],
-                    loss_history=list(first["loss"]), delta_history=list(first["delta"]), converged=first["converged"])
+                    loss_history=list(first["loss"]), delta_history=list(first["delta"]), converged=first["converged"],
+                    max_iter=first["max_iter"], tol=first["tol"], seed=first["seed"])
 
 
 def model_from_frame(cents: DataFrame, m: float) -> FcmModel:

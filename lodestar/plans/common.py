@@ -11,22 +11,27 @@ from lodestar.functions import text as tx
 from lodestar.operators.corpus import newsgroup_posts, prepare_corpus
 from lodestar.operators.encode import hashed_vector
 from lodestar.session import scratch_path, spread
-from lodestar.sources.tables import categories, read_table, scan_corpus, write_table
+from lodestar.sources.tables import categories, read_table, scan_corpus
+from lodestar.sources.versions import VersionedTable, fingerprint
 
 
 _CACHE: dict = {}
 
 
+def inputs(spark: SparkSession, sf_dir: str) -> str:
+    """Fingerprint of the given tables: results kept for them are not used for others."""
+    return fingerprint(spark, sf_dir)
+
+
 def materialized(spark: SparkSession, key: tuple, build, partition_by: str | None = None) -> DataFrame:
-    """Build a frame once per application and write it as a table in the
-    shared checkpoint folder: later jobs prune its columns, push filters into
-    its scan and don't repeat cleaning or encoding."""
+    """``build()`` as a versioned table in the shared checkpoint folder, built
+    once per application and state of the input folder ``key[1]``: later jobs
+    prune its columns, push filters into its scan and don't repeat cleaning or
+    encoding; changed inputs give a new version."""
     k = (spark.sparkContext.applicationId,) + key
     if k not in _CACHE:
-        path = scratch_path(spark, key[0])
-        write_table(build(), path, partition_by)
-        _CACHE[k] = path
-    return spark.read.parquet(_CACHE[k])
+        _CACHE[k] = VersionedTable(spark, scratch_path(spark, key[0]))
+    return _CACHE[k].current(inputs(spark, key[1]), build, partition_by)
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ _CACHE: dict = {}
 
 def fitted(spark: SparkSession, sf_dir: str) -> fcm.FcmModel:
     """Fit once per (application, input folder); centroids are K x D."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, common.inputs(spark, sf_dir))
     if key not in _CACHE:
         vecs = common.corpus_vectors(spark, sf_dir).select("doc_id", "embedding")
         _CACHE[key] = fcm.fit(spark, vecs, k=K, m=M, max_iter=STEPS, tol=0.0, seed=SEED, checkpoint=False)

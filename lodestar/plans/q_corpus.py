@@ -13,6 +13,7 @@ from lodestar.plans import sqlfrag as S
 from lodestar.plans.registry import query
 from lodestar.session import bounded_broadcast, scratch_path
 from lodestar.sources import tables as tb
+from lodestar.sources.versions import VersionedTable
 
 R6 = 6
 MAX_CENTROIDS = 10_000  # category centroids that may be broadcast
@@ -74,11 +75,11 @@ def a4_float_vectors(spark, sf):
 SELECT 'corpus' AS name, true AS found, CAST(count(*) AS BIGINT) AS n FROM corpus UNION ALL SELECT 'missing', false, 0""")
 def a6_load_or_missing(spark, sf):
     """A written table with its length, and one that was never written."""
-    path = scratch_path(spark, "a6")
-    tb.write_table(common.corpus(spark, sf).select("doc_id"), path)
-    some, none = tb.load_table(spark, path), tb.load_table(spark, path + "-missing")
-    found = some.agg(F.lit("corpus").alias("name"), F.lit(True).alias("found"), F.count(F.lit(1)).alias("n"))
-    return found.unionByName(spark.createDataFrame([("missing", none is not None, 0)], "name string, found boolean, n long"))
+    root = scratch_path(spark, "a6")
+    table, missing = VersionedTable(spark, root), VersionedTable(spark, root + "-missing")
+    table.publish(common.corpus(spark, sf).select("doc_id"))
+    return spark.createDataFrame([("corpus", table.read() is not None, len(table)), ("missing", missing.read() is not None, len(missing))],
+                                 "name string, found boolean, n long")
 
 
 @query("a8_analysis_tables", "WITH " + S.CORPUS + "\nSELECT category, CAST(count(*) AS BIGINT) AS n_docs FROM corpus GROUP BY category")
@@ -94,9 +95,11 @@ SELECT c.doc_id, c.content_id, length(substring(c.text, 1, 500)) AS snippet_char
        CAST(count(h.dim) AS BIGINT) AS nnz, round(sqrt(sum(h.x * h.x)), 6) AS norm
 FROM corpus c JOIN hv h USING (doc_id) GROUP BY ALL""")
 def a5_vector_table(spark, sf):
-    c = common.corpus(spark, sf)
-    v = c.select("doc_id", hashed_vector(F.col("text")).alias("embedding"))
-    vt = tb.vector_table(c, v)
+    """The vector table built, replaced as a whole and reloaded: a first version of half the rows, then one of all."""
+    table = VersionedTable(spark, scratch_path(spark, "a5"))
+    rows = tb.vector_rows(common.corpus_vectors(spark, sf))
+    table.publish(rows.where("doc_id % 2 = 0"), "half")
+    vt = table.current(common.inputs(spark, sf), lambda: rows)
     return vt.select("doc_id", "content_id", F.length("text").alias("snippet_chars"), "category", "label",
                      F.size(F.filter("embedding", lambda x: x != 0)).cast("long").alias("nnz"),
                      F.round(l2_norm("embedding"), R6).alias("norm"))

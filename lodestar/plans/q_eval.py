@@ -10,7 +10,8 @@ from lodestar.operators import fcm, profiles, threshold
 from lodestar.plans import common, model
 from lodestar.plans import sqlfrag as S
 from lodestar.plans.q_model import BASE, ST
-from lodestar.plans.registry import query
+from lodestar.plans.registry import ORACLES, query
+from lodestar.session import scratch_path
 from lodestar.sources import tables as tb
 
 K, M = model.K, model.M
@@ -241,9 +242,19 @@ def f4_k_sweep_shipped(spark, sf):
                     F.round("fcm_loss", 6).alias("fcm_loss"), "n_iter", F.col("candidate_rank").cast("int").alias("candidate_rank"))
 
 
-@query("f5_fuzziness_sweep_shipped")
+def _f5_shipped_sql():
+    fits = [S.fcm_until(SHIPPED_K, m, SHIPPED_TOL, SHIPPED_STEPS, model.SEED, tag=f"s{i}_") for i, m in enumerate(M_GRID)]
+    sel = [f"""SELECT CAST({m} AS DOUBLE) AS m, round(avg(h), 6) AS mean_entropy, round(avg(mx), 6) AS mean_max_membership, round(avg(amb), 6) AS pct_ambiguous,
+  round(avg(h) / ln({float(SHIPPED_K)}), 6) AS entropy_over_ln_k, CAST(any_value(n) AS INTEGER) AS n_iter
+  FROM (SELECT doc_id, max(iter) AS n, -sum(u * ln(u + 1e-10)) AS h, max(u) AS mx, CASE WHEN count(*) FILTER (WHERE u > 0.3) >= 2 THEN 1.0 ELSE 0.0 END AS amb
+        FROM s{i}_fit WHERE iter = (SELECT max(iter) FROM s{i}_fit) GROUP BY doc_id)""" for i, m in enumerate(M_GRID)]
+    hv = S.hashed_long("corpus", "doc_id", "text").replace("hv AS (", "hv AS MATERIALIZED (")
+    return "WITH RECURSIVE " + S.CORPUS + ",\n" + hv + ",\n" + ",\n".join(fits) + "\n" + "\nUNION ALL\n".join(sel)
+
+
+@query("f5_fuzziness_sweep_shipped", _f5_shipped_sql())
 def f5_fuzziness_sweep_shipped(spark, sf):
-    """All fuzziness values at K = 15, every fit run until it stops (no SQL: the number of steps is not fixed)."""
+    """All fuzziness values at K = 15, every fit run until it stops."""
     vecs = common.corpus_vectors(spark, sf).select("doc_id", "embedding")
     r = ev.fuzziness_sweep(spark, vecs, M_GRID, k=SHIPPED_K, max_iter=SHIPPED_STEPS, tol=SHIPPED_TOL)
     return r.select("m", *[F.round(c, 6).alias(c) for c in ("mean_entropy", "mean_max_membership", "pct_ambiguous",
@@ -322,7 +333,10 @@ LEFT JOIN (SELECT r.cluster, string_agg(substring(m.text, 1, 300), chr(10) ORDER
 LEFT JOIN (SELECT cluster, string_agg(text || '|' || tops, chr(10) ORDER BY rank) AS texts FROM bt GROUP BY cluster) b USING (cluster)""")
 def g5_profiles(spark, sf):
     """The profile rows, with their lists as strings."""
-    p = profiles.profiles(_mem(spark, sf), model.fitted(spark, sf).centroids)
+    return _flat_profiles(profiles.profiles(_mem(spark, sf), model.fitted(spark, sf).centroids))
+
+
+def _flat_profiles(p):
     cats = F.array_join(F.transform("top_categories", lambda s: F.concat_ws(":", s["category"], s["cnt"].cast("string"))), ";")
     bnd = F.array_join(F.transform("boundary_documents", lambda s: F.concat_ws("|", s["text"], _clusters(s["membership_distribution"]))), "\n")
     return p.select("cluster", "size", cats.alias("cats"), _key(F.array_join("representative_texts", "\n")).alias("reps"), _key(bnd).alias("bnd"))
@@ -407,3 +421,33 @@ def g10_projection_2d(spark, sf):
     flags = profiles.boundary_flags(mem).select("doc_id", "boundary")
     return (profiles.projection_2d(spark, mem, steps=G10_STEPS).join(flags, "doc_id")
             .select("doc_id", "label", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "boundary"))
+
+
+# ---------------------------------------------------------------- A8: analysis tables
+
+def _through_json(spark, name, df):
+    """An analysis table written as JSON and read back with its own, possibly nested, schema."""
+    path = scratch_path(spark, name)
+    tb.write_json(df, path)
+    return spark.read.schema(df.schema).json(path)
+
+
+@query("a8_k_sweep_table", _f4_sql())
+def a8_k_sweep_table(spark, sf):
+    return _through_json(spark, "a8-k", f4_k_sweep(spark, sf))
+
+
+@query("a8_fuzziness_table", _f5_sql())
+def a8_fuzziness_table(spark, sf):
+    return _through_json(spark, "a8-m", f5_fuzziness_sweep(spark, sf))
+
+
+@query("a8_profiles_table", ORACLES["g5_profiles"])
+def a8_profiles_table(spark, sf):
+    """Nested profiles: arrays of structs and a map, through JSON."""
+    return _flat_profiles(_through_json(spark, "a8-profiles", profiles.profiles(_mem(spark, sf), model.fitted(spark, sf).centroids)))
+
+
+@query("a8_threshold_table", ORACLES["i5_threshold_sweep"])
+def a8_threshold_table(spark, sf):
+    return _through_json(spark, "a8-theta", i5_threshold_sweep(spark, sf))

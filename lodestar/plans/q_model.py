@@ -232,10 +232,15 @@ def d4_quantised_topk(spark, sf):
             .select("query_id", "rank", "doc_id", F.round("similarity", 4).alias("similarity")))
 
 
-@query("e6_fit_shipped")
+E6_SHIPPED_SQL = ("WITH RECURSIVE " + S.CORPUS + ",\n" + S.hashed_long("corpus", "doc_id", "text").replace("hv AS (", "hv AS MATERIALIZED (") + ",\n"
+                  + S.fcm_until(fcm.DEFAULT_K, fcm.DEFAULT_M, fcm.DEFAULT_TOL, fcm.DEFAULT_MAX_ITER, fcm.DEFAULT_SEED) + f"""
+SELECT CAST(iter - 1 AS INTEGER) AS iter, round(any_value(loss), 6) AS loss, round(any_value(delta), 6) AS delta,
+  (SELECT min(delta) < {fcm.DEFAULT_TOL} FROM fit WHERE iter > 0) AS converged FROM fit WHERE iter > 0 GROUP BY iter""")
+
+
+@query("e6_fit_shipped", E6_SHIPPED_SQL)
 def e6_fit_shipped(spark, sf):
-    """The fit with its own defaults: K = 15, m = 2, stop at max|dU| < 1e-4, at
-    most 150 steps; one row per step (no SQL: the number of steps is not fixed)."""
+    """The fit with its own defaults: K = 15, m = 2, stop at max|dU| < 1e-4, at most 150 steps; one row per step."""
     vecs = common.corpus_vectors(spark, sf).select("doc_id", "embedding")
     m = fcm.fit(spark, vecs, checkpoint=False)
     return m.history_frame(spark).select("iter", F.round("loss", 6).alias("loss"), F.round("delta", 6).alias("delta"),
@@ -243,11 +248,14 @@ def e6_fit_shipped(spark, sf):
 
 
 @query("a7_model_round_trip", BASE + f"""
-SELECT doc_id, CAST(k AS INTEGER) AS label FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY doc_id ORDER BY u DESC, k) AS r FROM u{ST}) WHERE r = 1""")
+SELECT doc_id, CAST(k AS INTEGER) AS label, {float(M)}::DOUBLE AS m, 0.0::DOUBLE AS tol, {ST}::INTEGER AS max_iter, {SEED}::INTEGER AS seed, {ST}::INTEGER AS n_iter, {K}::INTEGER AS n_clusters
+FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY doc_id ORDER BY u DESC, k) AS r FROM u{ST}) WHERE r = 1""")
 def a7_model_round_trip(spark, sf):
     """Labels predicted by a model that was saved with its parameters and loaded again."""
     path = scratch_path(spark, "a7")
     fcm.save_model(spark, model.fitted(spark, sf), path)
     loaded = fcm.load_model(spark, path)
     vecs = common.corpus_vectors(spark, sf).select("doc_id", "embedding")
-    return fcm.annotate(fcm.predict(spark, loaded, vecs, keep=["doc_id"])).select("doc_id", F.col("label").cast("int").alias("label"))
+    about = {"m": loaded.m, "tol": loaded.tol, "max_iter": loaded.max_iter, "seed": loaded.seed, "n_iter": loaded.n_iter, "n_clusters": loaded.k}
+    return (fcm.annotate(fcm.predict(spark, loaded, vecs, keep=["doc_id"]))
+            .select("doc_id", F.col("label").cast("int").alias("label"), *[F.lit(v).alias(c) for c, v in about.items()]))

@@ -163,6 +163,28 @@ def fcm_ctes(steps: int, k: int, m: float, seed: int, ids: str = "corpus", vec:
     return ",\n".join(parts)
 
 
+def fcm_until(k: int, m: float, tol: float, max_iter: int, seed: int, tag: str = "") -> str:
+    """Fuzzy c-means run until no membership moves by ``tol``, at most ``max_iter`` steps, as a recursive CTE ``fit(iter,
+    doc_id, k, u, loss, delta)``; step 0 is the start.  The statement begins with WITH RECURSIVE."""
+    e = 1.0 / (m - 1.0)
+    g = tag
+    return ",\n".join([
+        f"{g}xx AS MATERIALIZED (SELECT doc_id, sum(x * x) AS xx FROM hv GROUP BY doc_id)",
+        f"{g}u0r AS (SELECT c.doc_id, g.k::INTEGER AS k, (('0x' || substring(md5('{seed}|' || CAST(c.doc_id AS VARCHAR) || '|' || CAST(g.k AS VARCHAR)), 1, 8))::BIGINT + 1) "
+        f"/ 4294967296.0 AS r FROM corpus c CROSS JOIN range(0, {k}) g(k))",
+        f"""{g}fit AS (SELECT 0 AS iter, doc_id, k, r / sum(r) OVER (PARTITION BY doc_id) AS u, 0.0::DOUBLE AS loss, 1.0::DOUBLE AS delta FROM {g}u0r
+  UNION ALL SELECT iter, doc_id, k, u, loss, delta FROM (
+    WITH cur AS (SELECT * FROM {g}fit WHERE iter < {max_iter} AND delta >= {tol}),
+    w AS (SELECT k, sum(pow(u, {m})) AS w FROM cur GROUP BY k),
+    v AS (SELECT c.k, x.dim, sum(pow(c.u, {m}) * x.x) / any_value(w.w) AS v FROM cur c JOIN hv x USING (doc_id) JOIN w USING (k) GROUP BY c.k, x.dim),
+    vv AS (SELECT k, sum(v * v) AS vv FROM v GROUP BY k),
+    xv AS (SELECT x.doc_id, v.k, sum(x.x * v.v) AS xv FROM hv x JOIN v USING (dim) GROUP BY x.doc_id, v.k),
+    d AS (SELECT c.iter, c.doc_id, c.k, c.u AS before, greatest(xx.xx - 2.0 * coalesce(xv.xv, 0) + vv.vv, 1e-10) AS d
+      FROM cur c JOIN {g}xx xx ON xx.doc_id = c.doc_id JOIN vv ON vv.k = c.k LEFT JOIN xv ON xv.doc_id = c.doc_id AND xv.k = c.k),
+    n AS (SELECT iter, doc_id, k, before, d, pow(1.0 / d, {e}) / sum(pow(1.0 / d, {e})) OVER (PARTITION BY doc_id) AS u FROM d)
+    SELECT iter + 1 AS iter, doc_id, k, u, sum(pow(u, {m}) * d) OVER () AS loss, max(abs(u - before)) OVER () AS delta FROM n))"""])
+
+
 def membership_of(src: str, vec: str, cent: str, m: float, key: str = "doc_id") -> str:
     """SELECT producing ``(key, k, u)`` memberships of ``vec(key, dim, x)`` rows
     of ``src`` against centroids ``cent(k, dim, v)``."""

@@ -141,3 +141,8 @@ def vector_table(corpus: DataFrame, vectors: DataFrame) -> DataFrame:
     return (corpus.join(vectors, "doc_id")
             .select("doc_id", "content_id", F.substring("text", 1, 500).alias("text"),
                     "category", "label", "embedding"))
+
+
+def vector_rows(encoded: DataFrame) -> DataFrame:
+    """A5 from a corpus that carries its vectors: the same columns, without a join."""
+    return encoded.select("doc_id", "content_id", F.substring("text", 1, 500).alias("text"), "category", "label", "embedding")
