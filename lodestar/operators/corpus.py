@@ -3,11 +3,12 @@ loader strippers and the cleaning chain on real table rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as tx
 from lodestar.sources.tables import decode_labels
+from lodestar.sources.versions import VersionedTable
 
 
 def clean_and_validate(raw: DataFrame, text_col: str = "text") -> DataFrame:
@@ -37,6 +38,19 @@ def prepare_corpus(raw: DataFrame, cats: DataFrame, max_chars: int | None = tx.M
     return decode_labels(kept, cats).select("doc_id", "content_id", "text", "label", "category")
 
 
+def write_corpus(table: VersionedTable, raw: DataFrame, cats: DataFrame, max_chars: int | None = None, inputs: str = "") -> dict:
+    """B17 published as a version of ``table``, with B15's totals from the same pass.
+
+    Rows read and rows kept are observed by the write itself; nothing is
+    scanned twice.  ``raw`` should come from its last shuffle, as a shuffle
+    that is run again after a loss would count its rows again.
+    """
+    read = Observation()
+    version = table.publish(prepare_corpus(raw.observe(read, F.count(F.lit(1)).alias("rows")), cats, max_chars), inputs)
+    kept = table.manifest(version)["rows"]
+    return {"kept": kept, "discarded": read.get["rows"] - kept}
+
+
 def retention_report(raw: DataFrame, by: str | None = None) -> DataFrame:
     """Kept / discarded / percent discarded (optionally per group)."""
     v = clean_and_validate(raw)

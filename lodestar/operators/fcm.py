@@ -153,13 +153,22 @@ class FcmModel:
 
 def fit(spark: SparkSession, vectors: DataFrame, k: int = DEFAULT_K, m: float = DEFAULT_M,
         max_iter: int = DEFAULT_MAX_ITER, tol: float = DEFAULT_TOL, seed: int = DEFAULT_SEED,
-        checkpoint: bool = True) -> FcmModel:
-    """Fit on ``vectors(doc_id LONG, embedding ARRAY)``; see ``fit_many``."""
-    return fit_many(spark, vectors, [(k, m)], max_iter, tol, seed, checkpoint)[0]
+        checkpoint: bool = True, init: str = "random") -> FcmModel:
+    """Fit on ``vectors(doc_id LONG, embedding ARRAY)``; see ``fit_many``.
+
+    ``init``: ``random`` memberships, or ``centroids`` drawn by k-means||."""
+    if init not in ("random", "centroids"):
+        raise ValueError(f"init must be random or centroids, not {init}")
+    starts = None
+    if init == "centroids":
+        from lodestar.operators.seeding import start_centroids
+        vectors = vectors.select("doc_id", "embedding").checkpoint(eager=True) if checkpoint else vectors
+        starts, checkpoint = [start_centroids(spark, vectors, k, seed)], False
+    return fit_many(spark, vectors, [(k, m)], max_iter, tol, seed, checkpoint, starts)[0]
 
 
 def fit_many(spark: SparkSession, vectors: DataFrame, settings: list[tuple[int, float]], max_iter: int = DEFAULT_MAX_ITER,
-             tol: float = DEFAULT_TOL, seed: int = DEFAULT_SEED, checkpoint: bool = True) -> list[FcmModel]:
+             tol: float = DEFAULT_TOL, seed: int = DEFAULT_SEED, checkpoint: bool = True, starts: list[np.ndarray] | None = None) -> list[FcmModel]:
     """E6 for several (K, m) at once: a step of all of them is one pass over the vectors.
 
     The input is written once to the shared checkpoint folder (lineage cut,
@@ -169,7 +178,7 @@ def fit_many(spark: SparkSession, vectors: DataFrame, settings: list[tuple[int,
     kept centroids are those *before* the last membership update, ``n_iter``
     is the step at which ``max|U - U_old| < tol`` (or ``max_iter``).
 
-    The raw start of a cluster depends on the seed, the id and the cluster's
+    ``starts`` gives each model its first centroids; without it, the raw start of a cluster depends on the seed, the id and the cluster's
     number only, so every K takes a prefix of one array.
     """
     ship_package(spark)
@@ -195,16 +204,20 @@ def fit_many(spark: SparkSession, vectors: DataFrame, settings: list[tuple[int,
         return out
 
     live = list(range(len(settings)))
-    after = {i: r[0] for i, r in step(live, {}, {}, True).items()} if live else {}  # the first centroids, from the start alone
+    if starts is None:
+        after = {i: r[0] for i, r in step(live, {}, {}, True).items()} if live else {}  # the first centroids, from the start alone
+    else:
+        after = dict(enumerate(starts))
     models = [FcmModel(centroids=after[i], m=settings[i][1], max_iter=max_iter, tol=tol, seed=seed) for i in live]
     before: dict = {}
     for t in range(1, max_iter + 1):
         if not live:
             break
         now = after
-        found = step(live, now, before, t == 1)
+        found = step(live, now, before if before else now, t == 1 and starts is None)
         for i in live:
-            after_i, loss, moved = found[i]
+            _, loss, moved = found[i]
+            moved = 1.0 if t == 1 and starts is not None else moved  # no memberships before the first
             models[i].loss_history.append(loss)
             models[i].delta_history.append(moved)
             models[i].centroids, models[i].n_iter, models[i].converged = now[i], t, moved < tol

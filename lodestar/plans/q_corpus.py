@@ -11,7 +11,7 @@ from lodestar.operators.encode import encode_incremental, encode_queries, hashed
 from lodestar.plans import common
 from lodestar.plans import sqlfrag as S
 from lodestar.plans.registry import query
-from lodestar.session import bounded_broadcast, scratch_path
+from lodestar.session import bounded_broadcast, scratch_path, spread
 from lodestar.sources import tables as tb
 from lodestar.sources.versions import VersionedTable
 
@@ -242,6 +242,16 @@ def b15_retention_total(spark, sf):
     return cp.retention_report(d)
 
 
+@query("b15_observed_retention", "WITH " + S.CORPUS + """
+SELECT CAST((SELECT count(*) FROM corpus) AS BIGINT) AS kept, CAST(count(*) - (SELECT count(*) FROM corpus) AS BIGINT) AS discarded FROM documents""")
+def b15_observed_retention(spark, sf):
+    """Totals of whole texts, observed while the corpus is written."""
+    cats = tb.categories(tb.read_table(spark, sf, "documents"))
+    raw = spread(tb.scan_corpus(spark, sf, cats=cats))
+    r = cp.write_corpus(VersionedTable(spark, scratch_path(spark, "b15")), raw, cats)
+    return spark.createDataFrame([(r["kept"], r["discarded"])], "kept long, discarded long")
+
+
 @query("b16_duplicate_groups", "WITH " + S.CORPUS + """
 SELECT content_id, CAST(count(*) AS BIGINT) AS n_copies, min(doc_id) AS keep_doc_id FROM corpus GROUP BY content_id""")
 def b16_duplicate_groups(spark, sf):

@@ -232,6 +232,18 @@ def d4_quantised_topk(spark, sf):
             .select("query_id", "rank", "doc_id", F.round("similarity", 4).alias("similarity")))
 
 
+@query("e1_seeded_start")
+def e1_seeded_start(spark, sf):
+    """Fits from random memberships and from k-means|| centroids: first and last objective and steps (no SQL: seeded draws)."""
+    vecs = common.corpus_vectors(spark, sf).select("doc_id", "embedding")
+    rows = []
+    for init in ("random", "centroids"):
+        fitted = fcm.fit(spark, vecs, k=K, m=M, max_iter=50, checkpoint=False, init=init)
+        rows.append((init, fitted.loss_history[0], fitted.loss_history[-1], fitted.n_iter, fitted.converged))
+    return (spark.createDataFrame(rows, "init string, first_loss double, last_loss double, n_iter int, converged boolean")
+            .select("init", F.round("first_loss", 6).alias("first_loss"), F.round("last_loss", 6).alias("last_loss"), "n_iter", "converged"))
+
+
 E6_SHIPPED_SQL = ("WITH RECURSIVE " + S.CORPUS + ",\n" + S.hashed_long("corpus", "doc_id", "text").replace("hv AS (", "hv AS MATERIALIZED (") + ",\n"
                   + S.fcm_until(fcm.DEFAULT_K, fcm.DEFAULT_M, fcm.DEFAULT_TOL, fcm.DEFAULT_MAX_ITER, fcm.DEFAULT_SEED) + f"""
 SELECT CAST(iter - 1 AS INTEGER) AS iter, round(any_value(loss), 6) AS loss, round(any_value(delta), 6) AS delta,

@@ -74,3 +74,14 @@ def test_vector_rows_keep_the_snippet(spark):
     df = spark.createDataFrame([(1, "c", "w " * 400, "src", 0)], "doc_id long, content_id string, text string, category string, label int")
     row = tb.vector_rows(df.withColumn("embedding", hashed_vector(F.col("text")))).first()
     assert len(row["text"]) == 500 and len(row["embedding"]) == 128
+
+
+def test_corpus_write_observes_what_it_keeps(spark, table):
+    """One scan of the texts in the plan that is written; totals equal a count of both sides."""
+    from lodestar.operators import corpus as cp
+    rows = [(i, " ".join(["some words here"] * (20 if i % 3 else 2)), "en", "s", 1) for i in range(30)]
+    docs = spark.createDataFrame(rows, tb.DOCUMENTS)
+    cats = spark.createDataFrame([(0, "s")], "label int, category string")
+    raw = docs.select("doc_id", "text", F.lit(0).alias("label"))
+    got = cp.write_corpus(table, raw, cats)
+    assert got == {"kept": 20, "discarded": 10} and table.read().count() == 20
