@@ -229,20 +229,43 @@ def davies_bouldin(spark: SparkSession, labelled: DataFrame) -> DataFrame:
     return spark.createDataFrame([(v["davies_bouldin"], v["n_labels"], _status(v))], "db_index DOUBLE, n_labels BIGINT, status STRING")
 
 
-def exact_quantile(df: DataFrame, column: str, q: float, keep: int = 20_000) -> float | None:
+#: Size of the quantile sketch; its ranks err by some 1 / SKETCH, the bracket allows four times that on either side.
+SKETCH = 2048
+
+
+def exact_quantile(df: DataFrame, column: str, q: float, keep: int = 20_000, sketch: int = SKETCH) -> float | None:
     """The ``q``-th quantile of all values (linear interpolation), null for none.
 
-    The range that holds the two neighbouring ranks is narrowed by counts in
-    1,024 equal steps until at most ``keep`` values (or one single value) are
-    left; only those are read.
+    One pass merges quantile sketches and brackets the value; a second one
+    counts what lies below the bracket and the values inside of it, which
+    settles the two neighbouring ranks exactly.  With more than ``keep``
+    different values inside, or a bracket that missed, the range is narrowed
+    by counts in 1,024 equal steps until at most ``keep`` values (or one
+    single value) are left; only those are read.
     """
     v = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
-    lo, hi, n = v.agg(F.min("v"), F.max("v"), F.count(F.lit(1))).first()
+    at = lambda p: F.kll_sketch_get_quantile_double("sk", F.lit(float(min(1.0, max(0.0, p)))))
+    lo, hi, n, low, high = (v.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double("v", sketch).alias("sk"))
+                            .select("lo", "hi", "n", *[F.when(F.col("n") > 0, at(q + side * 4 / sketch)) for side in (-1, 1)]).first())
     if not n:
         return None
     rank = q * (n - 1)
     first, second = int(rank), min(int(rank) + 1, n - 1)
+
+    def between(values: dict) -> float:
+        return values[first] + (values[second] - values[first]) * (rank - first)
+
+    inside = F.when(F.col("v") >= low, F.col("v"))  # null: below the bracket
+    counts = v.where(F.col("v") <= high).groupBy(inside.alias("x")).agg(F.count(F.lit(1)).alias("c")).limit(keep + 2).collect()
+    below = sum(r["c"] for r in counts if r["x"] is None)
+    found = sorted((r["x"], r["c"]) for r in counts if r["x"] is not None)
+    if len(found) <= keep and below <= first and second < below + sum(c for _, c in found):
+        return between(_at_ranks(found, below, (first, second)))
     below = 0
+    if len(found) > keep:  # a bracket with many values: narrow it further, if it holds both ranks
+        less, n_in = v.agg(F.count_if(F.col("v") < low), F.count_if((F.col("v") >= low) & (F.col("v") <= high))).first()
+        if less <= first and second < less + n_in:
+            lo, hi, below, n = low, high, less, n_in
     while n > keep and lo < hi:
         width = (hi - lo) / 1024
         if not width or lo + width == lo:
@@ -260,15 +283,17 @@ def exact_quantile(df: DataFrame, column: str, q: float, keep: int = 20_000) ->
         if new == (lo, hi, n):
             break
         lo, hi, n = new
-    left = below
-    values = {}
-    counts = v.where((F.col("v") >= lo) & (F.col("v") <= hi)).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    for r in sorted(counts.collect(), key=lambda r: r["v"]):
-        for k in (first, second):
-            if left <= k < left + r["c"]:
-                values[k] = r["v"]
-        left += r["c"]
-    return values[first] + (values[second] - values[first]) * (rank - first)
+    counts = v.where((F.col("v") >= lo) & (F.col("v") <= hi)).groupBy("v").agg(F.count(F.lit(1)).alias("c")).collect()
+    return between(_at_ranks(sorted((r["v"], r["c"]) for r in counts), below, (first, second)))
+
+
+def _at_ranks(counted: list[tuple[float, int]], below: int, ranks: tuple[int, ...]) -> dict[int, float]:
+    """The values at some ranks, from sorted values with their counts that start at rank ``below``."""
+    out, left = {}, below
+    for value, c in counted:
+        out.update({k: value for k in ranks if left <= k < left + c})
+        left += c
+    return out
 
 
 def _softness(models: list):

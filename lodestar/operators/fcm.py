@@ -283,7 +283,7 @@ def centroids_from_labels(vecs: DataFrame, label_col: str) -> DataFrame:
     return arr.select((F.row_number().over(w) - 1).cast("int").alias("cluster"), "centroid")
 
 
-MAX_CENTROIDS = 100_000  # rows of a centroid table that may be broadcast
+MAX_CENTROIDS = 4_000  # rows of a centroid table that may be broadcast (4 MB at 128 dimensions)
 
 
 def sq_dists_long(vecs: DataFrame, cents: DataFrame) -> DataFrame:

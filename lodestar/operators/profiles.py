@@ -16,6 +16,7 @@ from lodestar.functions import text as tx
 from lodestar.functions.vectors import sq_dist_raw, top_memberships
 from lodestar.operators.encode import TOKEN_SPLIT
 from lodestar.operators.evaluate import exact_quantile
+from lodestar.operators.fcm import MAX_CENTROIDS
 from lodestar.session import ship_package
 
 TOP_CATEGORIES = 5
@@ -40,9 +41,11 @@ def top_categories(mem: DataFrame, n: int = TOP_CATEGORIES) -> DataFrame:
 
 def representatives(mem: DataFrame, centroids: np.ndarray, n: int = REPRESENTATIVES) -> DataFrame:
     """The n members nearest their cluster centroid (Euclidean), with a
-    300-character text.  The centroids (one row per cluster) are broadcast."""
+    300-character text.  The centroids (one row per cluster, already on the
+    driver) are broadcast within a bound and joined beyond it."""
     spark = mem.sparkSession
-    cents = F.broadcast(spark.createDataFrame([(int(c), [float(v) for v in row]) for c, row in enumerate(centroids)], "label int, centroid array<double>"))
+    cents = spark.createDataFrame([(int(c), [float(v) for v in row]) for c, row in enumerate(centroids)], "label int, centroid array<double>")
+    cents = F.broadcast(cents) if len(centroids) <= MAX_CENTROIDS else cents
     d = F.sqrt(sq_dist_raw("embedding", "centroid"))
     w = Window.partitionBy("cluster").orderBy(F.round("dist", 12), "doc_id")
     return (mem.select("label", "doc_id", "embedding", tx.snippet("text", tx.SNIPPET_REPRESENTATIVE).alias("text")).join(cents, "label")

@@ -30,9 +30,13 @@ def eval_pairs(spark, sf):
 
 
 def query_vectors(spark, sf):
-    """One vector per distinct text, from the written vector table."""
-    return (common.corpus_vectors(spark, sf).groupBy(F.col("content_id").alias("key"))
-            .agg(F.any_value("embedding").alias("embedding")))
+    """One vector per distinct text, of the row with the smallest id, as a table of its own: joins on it have a plain
+    exchange (or a broadcast) on both sides, so that a text which many pairs name can be split."""
+    def build():
+        c = common.corpus_vectors(spark, sf)
+        first = c.groupBy("content_id").agg(F.min("doc_id").alias("doc_id"))
+        return c.select("doc_id", F.col("content_id").alias("key"), "embedding").join(first.select("doc_id"), "doc_id", "left_semi").select("key", "embedding")
+    return common.materialized(spark, ("content_vectors", sf), build)
 
 
 PAIRS_SQL = "WITH " + S.CORPUS + """,

@@ -89,3 +89,18 @@ def test_exact_quantile(spark):
         for q in (0.0, 0.3, 0.85, 1.0):
             assert abs(exact_quantile(df, "v", q, keep=40) - np.quantile(x, q)) <= 1e-12 * max(1, abs(x).max())
     assert exact_quantile(df.limit(0), "v", 0.5) is None
+
+
+def test_quantile_in_two_scans(spark):
+    """The bracket of a sketch settles the ranks; a coarse sketch, or few values allowed, narrows and gives the same."""
+    from lodestar.operators.evaluate import exact_quantile
+    r = np.random.default_rng(7)
+    x = np.concatenate([r.normal(size=20_000), np.full(3000, 0.5), [1e9, -1e9]])
+    df = spark.createDataFrame([(float(v),) for v in x], "v double").repartition(4).cache()
+    df.count()
+    for q in (0.0, 0.5, 0.85, 0.999, 1.0):
+        spark.sparkContext.setJobGroup(f"quantile-{q}", "two scans")
+        got = exact_quantile(df, "v", q)
+        spark.sparkContext.setJobGroup("", "")
+        assert abs(got - np.quantile(x, q)) <= 1e-12 * max(1.0, abs(got))
+        assert exact_quantile(df, "v", q, keep=50, sketch=16) == got
