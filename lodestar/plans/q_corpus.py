@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as tx
-from lodestar.functions.vectors import dot, l2_norm, l2_normalize, sq_dist
+from lodestar.functions.vectors import dot, l2_norm, l2_normalize
 from lodestar.operators import corpus as cp
-from lodestar.operators.encode import encode_incremental, encode_queries, hashed_vector
+from lodestar.operators.encode import encode_incremental, encode_queries
 from lodestar.plans import common
 from lodestar.plans import sqlfrag as S
 from lodestar.plans.registry import query
