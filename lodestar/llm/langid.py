@@ -7,8 +7,8 @@ script.  A Viterbi pass over the words with a penalty for switching language
 labels the text in spans; the document's language is the one with the most
 letters in its spans.
 
-Words are scored and walked in NumPy, all texts of a batch in step, so no
-Python runs per word.
+Words are scored and walked in NumPy, all texts of a batch in step and long
+texts in blocks, so no Python runs per word.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ BUCKETS = 1 << 16
 SWITCH = 12.0
 #: A script belongs to a language that has at least this share of its words in it.
 SCRIPT_SHARE = 0.01
+#: Texts of more words are walked in blocks of words side by side.
+LONG_WORDS, BLOCK_WORDS = 4096, 256
 #: Letters of all scripts without a number of their own; also the words without a letter.
 OTHER = 0
 
@@ -100,18 +102,20 @@ class Batch:
 
 
 class Model:
-    """``log_p``: (BUCKETS, languages) log-probabilities; ``allowed``: (scripts, languages)."""
+    """``log_p``: (BUCKETS, languages) log-probabilities; ``allowed``: (scripts, languages); ``told``: scripts that some language was learned with."""
 
-    def __init__(self, languages: list[str], log_p: np.ndarray, allowed: np.ndarray):
+    def __init__(self, languages: list[str], log_p: np.ndarray, allowed: np.ndarray, told: np.ndarray | None = None):
         self.languages, self.log_p, self.allowed = languages, log_p, allowed
+        self.told = allowed.any(axis=1) if told is None else told
 
     @classmethod
     def from_counts(cls, languages: list[str], triples: np.ndarray, scripts: np.ndarray) -> Model:
         p = (triples + 0.05) / (triples.sum(axis=0) + 0.05 * BUCKETS)
         share = scripts / np.maximum(1, scripts.sum(axis=1, keepdims=True))
         allowed = share.T >= SCRIPT_SHARE
+        told = allowed.any(axis=1)
         allowed[OTHER] = True
-        return cls(languages, np.log(p).astype(np.float32), allowed)
+        return cls(languages, np.log(p).astype(np.float32), allowed, told)
 
     def emissions(self, batch: Batch) -> np.ndarray:
         """(words, languages) log-scores; languages without the word's script are out, unknown scripts say nothing."""
@@ -131,7 +135,13 @@ class Model:
         label = np.zeros(n, dtype=np.int64)
         if not n or k < 2:
             return label
-        counts = batch.words.counts
+        counts = batch.words.counts.copy()
+        for text in np.flatnonzero(counts > LONG_WORDS):
+            at = batch.words.first[text]
+            label[at:at + counts[text]] = self._long_spans(e[at:at + counts[text]])
+            counts[text] = 0
+        if not counts.any():
+            return label
         order = np.argsort(-counts, kind="stable")
         first = batch.words.first[:-1][order]
         length = counts[order]
@@ -158,13 +168,62 @@ class Model:
             label[at - 1] = np.where(stays[at, own], own, came[at])
         return label
 
+    def _long_spans(self, e: np.ndarray) -> np.ndarray:
+        """The best path of one long text: blocks of words are walked side by side from each state they may start in,
+        the blocks' best scores are chained, then each block is walked again from its start to its end."""
+        n, k = e.shape
+        blocks = -(-n // BLOCK_WORDS)
+        e = np.concatenate([e, np.zeros((blocks * BLOCK_WORDS - n, k))]).reshape(blocks, BLOCK_WORDS, k)
+        length = np.full(blocks, BLOCK_WORDS)
+        length[-1] = n - (blocks - 1) * BLOCK_WORDS
+        score = np.full((blocks, k, k), -np.inf)  # start and end state
+        score[:, np.arange(k), np.arange(k)] = e[:, 0]
+        for t in range(1, BLOCK_WORDS):
+            m = blocks if t < length[-1] else blocks - 1
+            now = score[:m]
+            score[:m] = np.maximum(now, now.max(axis=2, keepdims=True) - SWITCH) + e[:m, t, None, :]
+        start, before = np.zeros((blocks, k), dtype=np.int64), np.zeros((blocks, k), dtype=np.int64)
+        total = np.zeros(k)
+        for b in range(blocks):
+            enter, came = total, np.arange(k)
+            if b:
+                jump = total.max() - SWITCH
+                came = np.where(total >= jump, came, total.argmax())
+                enter = np.maximum(total, jump)
+            ways = enter[:, None] + score[b]
+            start[b] = ways.argmax(axis=0)
+            before[b] = came[start[b]]
+            total = ways.max(axis=0)
+        first, last = np.zeros(blocks, dtype=np.int64), np.zeros(blocks, dtype=np.int64)
+        at = int(total.argmax())
+        for b in range(blocks - 1, -1, -1):
+            last[b], first[b] = at, start[b, at]
+            at = before[b, at]
+        r = np.arange(blocks)
+        now = np.full((blocks, k), -np.inf)
+        now[r, first] = e[r, 0, first]
+        came = np.zeros((blocks, BLOCK_WORDS, k), dtype=np.int64)
+        for t in range(1, BLOCK_WORDS):
+            top = now.argmax(axis=1)
+            jump = now[r, top] - SWITCH
+            came[:, t] = np.where(now >= jump[:, None], np.arange(k), top[:, None])
+            now = np.maximum(now, jump[:, None]) + e[:, t]
+        label = np.zeros((blocks, BLOCK_WORDS), dtype=np.int64)
+        label[r, length - 1] = last
+        for t in range(BLOCK_WORDS - 1, 0, -1):
+            m = blocks if t < length[-1] else blocks - 1
+            label[:m, t - 1] = came[r[:m], t, label[:m, t]]
+        return label.ravel()[:n]
+
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Language and score of every text, and its words' labels (with the text number of each)."""
         batch = Batch(texts)
         label = self.spans(batch)
         n, k = len(texts), len(self.languages)
-        share = np.bincount(batch.text * k + label, weights=batch.letters, minlength=n * k).reshape(n, k) if k else np.zeros((n, 0))
-        total = share.sum(axis=1)
+        told = self.told[batch.script]
+        share = np.bincount(batch.text * k + label, weights=batch.letters * told, minlength=n * k).reshape(n, k) if k else np.zeros((n, 0))
+        total = np.bincount(batch.text, weights=batch.letters, minlength=n)
+        share += np.bincount(batch.text, weights=batch.letters * ~told, minlength=n)[:, None] / max(1, k)
         lang = [self.languages[j] if t else "und" for j, t in zip(share.argmax(axis=1).tolist(), total.tolist())] if k else ["und"] * n
         score = np.where(total > 0, share.max(axis=1) / np.maximum(total, 1), 0.0) if k else np.zeros(n)
         return lang, score, label, batch.text
@@ -235,8 +294,10 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     ``held_out``: crc32 of the id as text, modulo 3, is 1 (null id: held
     out).  The default model learns from all other rows.  ``score`` is the
-    share of the letters that the language's spans hold.  Null texts and
-    texts without a letter: ``und`` and 0.  Ties go to the first language by
+    share of the letters that the language's spans hold; letters of scripts that
+    no language was learned with count for all languages alike, so a text of
+    such letters alone gets the first language and one over their number.  Null
+    texts and texts without a letter: ``und`` and 0.  Ties go to the first language by
     code point.  Only ``doc_id``, ``text`` and, for learning, ``lang`` are
     read, so other columns may have any name.
     """

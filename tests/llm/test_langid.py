@@ -105,3 +105,34 @@ def test_partitions_that_lack_a_language(spark, make_docs):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sum(got[r[0]] == r[2] for r in data) >= 39
+
+
+def test_blocks_of_a_long_text_give_a_best_path():
+    """The path over blocks has the score of the plain walk's best path, for lengths around the blocks' edges."""
+    from lodestar.llm.langid import BLOCK_WORDS, SWITCH
+    r = np.random.default_rng(4)
+    for n, k in ((1, 3), (BLOCK_WORDS, 2), (BLOCK_WORDS + 1, 4), (5 * BLOCK_WORDS - 1, 3), (2000, 5)):
+        e = r.normal(size=(n, k)) * 6
+        e += np.repeat(np.eye(k)[r.integers(0, k, n // 40 + 1)] * 5, 40, axis=0)[:n]
+        best = e[0].copy()
+        for t in range(1, n):
+            best = np.maximum(best, best.max() - SWITCH) + e[t]
+        label = Model([str(i) for i in range(k)], np.zeros((1, k)), np.ones((1, k), bool))._long_spans(e)
+        own = e[np.arange(n), label].sum() - SWITCH * (label[1:] != label[:-1]).sum()
+        assert abs(own - best.max()) < 1e-6
+
+
+def test_long_texts_are_quick_and_equal_in_parts(make_docs):
+    import time
+    m = model(make_docs)
+    words = sentence("aa", 1, 150_000).split() + sentence("bb", 2, 150_000).split()
+    at = time.time()
+    lang, score, label, _ = m.predict(pa.array([" ".join(words), sentence("bb", 4, 9), None]))
+    assert time.time() - at < 10 and lang[1] == "bb" and 0.4 < score[0] < 0.6
+    assert np.mean(label[:150_000] == 0) > 0.99 and np.mean(label[150_000:300_000] == 1) > 0.99
+
+
+def test_scripts_that_were_not_learned_say_nothing(make_docs):
+    m = model(make_docs)
+    lang, score, _, _ = m.predict(pa.array(["தமிழ் மொழி இது", "漢字漢字", "漢字 " + sentence("bb", 3, 6)]))
+    assert np.allclose(score[:2], 1 / 3) and lang[:2] == ["aa", "aa"] and lang[2] == "bb" and 0.8 < score[2] < 1
