@@ -33,7 +33,7 @@ from lodestar.session import bounded_broadcast, scratch_path, ship_package
 #: Rows that centres and codebooks are fitted on, and steps of each k-means.
 SAMPLE = 20_000
 STEPS = 12
-#: Lists for n rows: the power of two next to LISTS_PER_ROOT * sqrt(n), within the bounds (the sample gives no more centres).
+#: Lists for n rows: the next power of two from LISTS_PER_ROOT * sqrt(n) on, within the bounds (the sample gives no more centres).
 LISTS_PER_ROOT, MIN_LISTS, MAX_LISTS = 1.3, 8, 2048
 CODEWORDS = 256
 GROUP_DIMS = 8
@@ -102,7 +102,7 @@ def fit(vectors: DataFrame, n_rows: int, seed: int = 42) -> Quantiser:
     rows = sample(vectors.select("doc_id", "embedding"), SAMPLE, seed).select("embedding").toArrow().column(0).combine_chunks()
     x = _unit(matrix(rows)) if len(rows) else np.zeros((1, 1))
     rng = np.random.default_rng(seed)
-    lists = 2 ** round(np.log2(max(1.0, LISTS_PER_ROOT * np.sqrt(max(n_rows, 1)))))
+    lists = 2 ** int(np.ceil(np.log2(max(1.0, LISTS_PER_ROOT * np.sqrt(max(n_rows, 1))))))
     centres = _means(x, int(min(max(lists, MIN_LISTS), MAX_LISTS, len(x))), rng, True)
     rest = x - centres[(x @ centres.T).argmax(axis=1)]
     groups = -(-x.shape[1] // GROUP_DIMS)
