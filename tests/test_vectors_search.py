@@ -104,3 +104,17 @@ def test_answer_without_category(spark):
     queries = spark.createDataFrame([(1,), (2,)], "query_id long")
     got = dict(search.answer_text(queries, hits).collect())
     assert got == {1: "[Category:  | Similarity: 0.500]\n\ntext", 2: search.NO_RESULT_TEXT}
+
+
+def test_encoder_holds_a_slice_of_a_batch_at_a_time(monkeypatch):
+    """A large batch is hashed in slices of bounded bytes, which give the rows of the whole batch; long, empty and null texts too."""
+    import pyarrow as pa
+
+    from lodestar.operators import encode
+    texts = ["a b c", None, "", "x" * 700_000, *[f"w{i % 50} \u00e9t\u00e9 " * 500 for i in range(1000)]]
+    want, seen, whole = encode._hash_batch(texts, 16, True), [], encode._hash_batch
+    monkeypatch.setattr(encode, "ship_package", lambda *a: None)
+    monkeypatch.setattr(encode.F, "arrow_udf", lambda kind: lambda f: f)
+    monkeypatch.setattr(encode, "_hash_batch", lambda part, *a: seen.append(sum(len(t or "") for t in part)) or whole(part, *a))
+    out = encode._encoder_udf(16, True)(pa.array(texts, pa.string()))
+    assert max(seen) <= 1 << 20 and np.array_equal(out.flatten().to_numpy().reshape(len(texts), 16), want)
