@@ -99,6 +99,29 @@ def test_block_join_equals_stream(spark):
         assert a == b and len(a) == 210
 
 
+def test_blocks_of_queries_and_rows_meet_without_a_shuffle(spark, monkeypatch):
+    """Pairs of blocks are read from written tables; a task keeps k rows a query over all its blocks; copies and ties too."""
+    monkeypatch.setattr(search, "BLOCK_ROWS", 16)
+    r = np.random.default_rng(9)
+    vectors = [[float(x) for x in v] for v in r.normal(size=(60, 4))]
+    rows = [(i, vectors[i % 60] if i % 3 else vectors[0], i % 2) for i in range(900)]
+    corpus = spark.createDataFrame(rows, "doc_id long, embedding array<double>, bucket int").repartition(4)
+    queries = spark.createDataFrame([(i, vectors[i], [i % 3]) for i in range(50)], "query_id long, embedding array<double>, probes array<int>")
+    for probe in (None, "probes"):
+        scoped = probe is not None
+        named = queries.select("query_id", F.col("embedding").alias("vector"), *(["probes"] if scoped else []))
+        joined = search._block_join(named, corpus.select("doc_id", "embedding", *(["bucket"] if scoped else [])), 5, scoped)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" in plan and "Exchange" not in plan
+        pairs = joined.count()
+        got = search.topk(spark, queries, corpus, 5, probe_col=probe, max_query_rows=10).collect()
+        want = search.topk(spark, queries, corpus, 5, probe_col=probe).collect()
+        key = lambda x: (x["query_id"], x["rank"], x["doc_id"], round(x["similarity"], 10))
+        assert sorted(map(key, got)) == sorted(map(key, want)) and len(got) == (170 if scoped else 250)
+        left = search._packed(named, 16, True)
+        assert pairs <= 50 * 5 * search._packed(corpus.select("doc_id", "embedding"), 16, False).rdd.getNumPartitions() and left.count() >= 4
+
+
 def test_answer_without_category(spark):
     hits = spark.createDataFrame([(1, 1, 5, 0.5, "text", None)], "query_id long, rank int, doc_id long, similarity double, text string, category string")
     queries = spark.createDataFrame([(1,), (2,)], "query_id long")
