@@ -89,7 +89,7 @@ def test_run_is_the_registered_query(spark, folder):
     import __spark_entry__
     assert __spark_entry__.queries()["pipeline"].__name__ == "run" and corpus_pipeline.ORACLE_SQL is None
     assert corpus_pipeline.run(spark, folder).count() > 0
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_empty_documents(spark, make_docs, folder, tmp_path):
