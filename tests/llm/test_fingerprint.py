@@ -87,10 +87,10 @@ def test_against_brute_force(spark):
     want = {}
     for i, text, after in followed(rows):
         want.setdefault(i, []).append((text, after))
-    seen = {}
+    seen, last = {}, max(i for i, _ in rows if i is not None)
     for r in got:
         assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
-        if r["doc_id"] in (None, 12, 11):  # ids with ties, and what comes before one, below
+        if r["doc_id"] in (None, 12, 11, last):  # ids with ties, and what comes before one, below
             continue
         (text, after), = want[r["doc_id"]]
         k = len(text) // 4
@@ -103,6 +103,10 @@ def test_against_brute_force(spark):
             assert seen.setdefault(t, f) == f
     assert len(set(seen.values())) == len(seen)
     by = {r["doc_id"]: r for r in got}
+    (text, _), = want[last]  # followed by the first of the rows without an id
+    k = len(text) // 4
+    starts = {hashlib.sha256((text[:len(text) - k] + after[:k]).encode()).hexdigest() for after in ("no id", "")}
+    assert by[last]["n_chars"] == len(text) and by[last]["edited_sha256"] in starts
     assert by[7]["near_next"] == 1 and by[7]["fingerprint"] == by[8]["fingerprint"] and by[8]["near_next"] == 400 / 401
     assert by[10]["near_next"] > 0.99 and 0.55 < by[10]["near_edited"] < 0.65
     assert len({tuple(r) for r in got if r["doc_id"] == 77}) == 1
