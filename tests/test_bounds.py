@@ -1,10 +1,10 @@
-"""Bounds of dot products, and the block join of the search that uses them, against all products."""
+"""Bounds of dot products, and the block joins of search and cache that use them, against all products."""
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from lodestar.operators import bounds, search
+from lodestar.operators import bounds, search, semcache
 
 DIM, THETA = 24, 0.8
 
@@ -48,6 +48,48 @@ def batch(columns):
     return pa.record_batch({k: pa.array([v], t) if t else pa.array([v]) for k, (v, t) in columns.items()})
 
 
+def cache_batches(ids, x, last, eids, y, stored):
+    raw = pa.binary()
+    for left in blocks(x, 128, lambda i: {"ids": (ids[i].tobytes(), raw), "units": (x[i].tobytes(), raw), "lasts": (last[i].tobytes(), raw),
+                                          "asks": (np.ones((len(i), 1), dtype=bool).tobytes(), raw), "probed": ([0], pa.list_(pa.int32()))}):
+        for right in blocks(y, 128, lambda i: {"entry_bucket": (0, pa.int32()), "entry_ids": (eids[i].tobytes(), raw), "entry_units": (y[i].tobytes(), raw),
+                                               "entry_stored": (np.full(len(i), stored).tobytes(), raw)}):
+            yield batch({**left, **right})
+
+
+def test_cache_kernels_equal_all_products():
+    """Near copies, equal rows, zero and missing vectors: every kind of the join gives what all products give."""
+    x = clustered(300, 5)
+    x[10:40] = x[10]
+    x[50], x[51] = 0, np.nan
+    ids = np.random.default_rng(6).permutation(len(x)).astype(np.int64)
+    last = ids + np.random.default_rng(7).integers(0, 80, len(ids)) * (ids % 3 == 0)
+    s = np.nan_to_num(x @ x.T, nan=-1.0)
+    near = s >= THETA
+    for stored in (True, False):
+        got = pa.Table.from_batches(list(semcache._pairs_of_blocks("before", THETA, 32)(cache_batches(ids, x, last, ids, x, stored)))).to_pydict()
+        want = near & (ids[None, :] < ids[:, None])
+        assert sorted(got["i"]) == sorted(ids[want.any(axis=1)]) and set(got["near"]) == {stored}
+    args = (ids, x, last, ids, x, True)
+    got = pa.Table.from_batches(list(semcache._pairs_of_blocks("pairs", THETA, 32)(cache_batches(*args)))).to_pydict()
+    assert sorted(zip(got["i"], got["j"])) == sorted((ids[a], ids[b]) for a, b in zip(*np.nonzero(near)))
+    key = np.round(s, 12)
+    for kind in ("best", "runs"):
+        got = pa.Table.from_batches(list(semcache._pairs_of_blocks(kind, THETA, 32)(cache_batches(*args)))).to_pydict()
+        pairs = set(zip(got["i"], got["j"]))
+        for a in range(len(ids)):
+            def first(allowed):
+                found = [(-key[a, b], ids[b]) for b in np.flatnonzero(near[a] & allowed)]
+                return min(found)[1] if found else None
+            if kind == "best":
+                assert [j for i, j in pairs if i == ids[a]] == [j for j in [first(True)] if j is not None]
+            else:  # the best entry before any request of the class is among the rows
+                for at in (ids[a], last[a]):
+                    best = first((ids < at) & (ids != ids[a]))
+                    own = [(-key[a, np.flatnonzero(ids == j)[0]], j) for i, j in pairs if i == ids[a] and j < at and j != ids[a]]
+                    assert (min(own)[1] if own else None) == best
+
+
 @pytest.mark.parametrize("odd", [None, "copies", "long", "missing"])
 @pytest.mark.parametrize("floors", [False, True])
 def test_search_kernel_equals_all_products(odd, floors):
